@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lastmile.functions import numeric, text_key
 from lastmile.operators.clean import TIME_NAMES, require_columns
 from lastmile.operators.quantiles import quantiles, value_ranks
-from lastmile.operators.sizing import small_side
+from lastmile.operators.sizing import BROADCAST_ROWS, checkpointed
 from lastmile.schema import CLASSES, LABEL, RISK, TARGET
 
 # Accepted column names per risk component.
@@ -116,18 +116,20 @@ def rank_percent(
     Ranks belong to distinct values; they are joined back by value, broadcast where
     the distinct values are counted to be few.
     """
-    rows = df.count()
+    keyed = df.select(*[numeric(df, c).alias(c) for c in columns])
+    ranks = checkpointed(value_ranks(keyed, list(columns)))
+    distinct = {r["_column"]: r["count"] for r in ranks.groupBy("_column").count().collect()}
+    share = (F.col("_below") + (F.col("_n") + 1) / 2.0) / F.col("_total")
     out = df
     for source, name in columns.items():
-        value = numeric(df, source)
-        ranks = value_ranks(df.select(value.alias("_v")), "_v", rows)
-        share = (F.col("_below") + (F.col("_n") + 1) / 2.0) / F.col("_total")
-        scored = ranks.select(
-            F.col("_v"), (1 - share if source in low_is_risky else share).alias(name)
+        scored = ranks.where(F.col("_column") == source).select(
+            "_value", (1 - share if source in low_is_risky else share).alias(name)
         )
-        side = small_side(scored)
-        out = out.withColumn("_key", value).join(side, F.col("_key") == F.col("_v"), "left").drop(
-            "_key", "_v"
+        side = F.broadcast(scored) if distinct.get(source, 0) <= BROADCAST_ROWS else scored
+        out = (
+            out.withColumn("_key", numeric(df, source))
+            .join(side, F.col("_key") == F.col("_value"), "left")
+            .drop("_key", "_value")
         )
     return out
 

@@ -194,20 +194,30 @@ def corr_with_target(df: DataFrame, target: str = TARGET) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """All pairs in one aggregation, as (columna_x, columna_y, correlacion)."""
+    """All pairs as (columna_x, columna_y, correlacion), nulls left out pair by pair.
+
+    Pairs become rows before a map-side combined aggregation: one wide aggregate over
+    all pairs would be too large for generated code.
+    """
     names = columns or infer_roles(df)["numeric"]
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    one = df.agg(
-        *[
-            guarded_corr(numeric(df, a), numeric(df, b)).alias(f"p{i}")
-            for i, (a, b) in enumerate(pairs)
-        ]
+    parsed = df.select(*[numeric(df, c).alias(c) for c in names])
+    pairs = [
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).alias("x"), F.col(b).alias("y"))
+        for i, a in enumerate(names)
+        for b in names[i:]
+    ]
+    upper = (
+        parsed.select(F.explode(F.array(*pairs)).alias("p"))
+        .select("p.*")
+        .groupBy("a", "b")
+        .agg(guarded_corr(F.col("x"), F.col("y")).alias("correlacion"))
+    )
+    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
+        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    )
+    return upper.select(F.explode(both).alias("p"), "correlacion").select(
+        F.col("p.a").alias("columna_x"), F.col("p.b").alias("columna_y"), "correlacion"
     )
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in dict.fromkeys([(a, b), (b, a)]):
-            rows.append({"columna_x": F.lit(x), "columna_y": F.lit(y), "correlacion": F.col(f"p{i}")})
-    return _rows_of(one, rows)
 
 
 def _delivery_rules(df: DataFrame) -> dict[str, Column]:

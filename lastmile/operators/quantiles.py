@@ -16,7 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lastmile.operators.sizing import small_side
+from lastmile.operators.sizing import checkpointed, small_side
 
 SMALL_ROWS = 1_000_000
 ROWS_PER_RANGE = 500_000
@@ -156,33 +156,40 @@ def quantiles(
     return {c: [found.get(c, {}).get(float(p)) for p in ps] for c, ps in wanted.items()}
 
 
-def value_ranks(df: DataFrame, value: str, rows: int | None = None) -> DataFrame:
-    """Distinct values with ``_n`` copies, ``_below`` smaller rows and ``_total`` rows.
+def value_ranks(df: DataFrame, columns: list[str], rows: int | None = None) -> DataFrame:
+    """Ranks of the distinct values of several columns, as one long table.
 
-    Copies collapse before the shuffle; the running count is taken range by range
-    and shifted by the size of the ranges before it, so no task sees the whole column.
+    Per (``_column``, ``_value``): ``_n`` copies, ``_below`` smaller rows, ``_total`` rows.
+    Copies collapse before the shuffle; the running count is taken range by range and
+    shifted by the ranges before it, so no task sees a whole column.
     """
     rows = df.count() if rows is None else rows
-    ranged = with_range(df.select(value), value, range_bounds(df, value, rows))
-    counted = ranged.groupBy("_range", value).agg(F.count("*").alias("_n"))
-    sizes = ranged.groupBy("_range").agg(F.count("*").alias("n")).collect()  # <= MAX_RANGES rows
-    starts, seen = [], 0
-    for r in sorted(sizes, key=lambda r: r["_range"]):
-        starts.append((r["_range"], seen))
-        seen += r["n"]
-    offsets = F.broadcast(
-        df.sparkSession.createDataFrame(starts, "_range double, _start long")
+    parts = []
+    for c in columns:
+        one = df.select(F.lit(c).alias("_column"), F.col(c).alias("_value"))
+        parts.append(with_range(one, "_value", range_bounds(df, c, rows)))
+    ranged = reduce(lambda a, b: a.unionAll(b), parts)
+    counted = checkpointed(
+        ranged.groupBy("_column", "_range", "_value").agg(F.count("*").alias("_n"))
+    )
+    sizes = counted.groupBy("_column", "_range").agg(F.sum("_n").alias("n")).collect()
+    starts, totals = [], dict.fromkeys(columns, 0)
+    for r in sorted(sizes, key=lambda r: (r["_column"], r["_range"])):  # <= MAX_RANGES per column
+        starts.append((r["_column"], r["_range"], totals[r["_column"]]))
+        totals[r["_column"]] += r["n"]
+    offsets = df.sparkSession.createDataFrame(
+        [(*s, totals[s[0]]) for s in starts], "_column string, _range double, _start long, _total long"
     )
     within = (
-        Window.partitionBy("_range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy("_column", "_range")
+        .orderBy("_value")
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
         counted.withColumn("_upto", F.sum("_n").over(within))
-        .join(offsets, "_range")
+        .join(F.broadcast(offsets), ["_column", "_range"])
         .select(
-            value,
-            "_n",
-            (F.col("_start") + F.col("_upto") - F.col("_n")).alias("_below"),
-            F.lit(seen).cast("long").alias("_total"),
+            "_column", "_value", "_n",
+            (F.col("_start") + F.col("_upto") - F.col("_n")).alias("_below"), "_total",
         )
     )

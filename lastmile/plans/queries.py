@@ -201,13 +201,16 @@ def iqr_bounds(spark, sf):
 
 @query
 def cap_outliers(spark, sf):
-    columns = ["costo_envio", TARGET]
-    return rounded(clean.cap_outliers(patchy(spark, sf), columns).select("split_key", *columns))
+    columns = ["costo_por_km", TARGET]
+    df = features.add_ratios(patchy(spark, sf))
+    return rounded(clean.cap_outliers(df, columns).select("split_key", *columns), 11)
 
 
 @query
 def outlier_rows(spark, sf):
-    return clean.outlier_rows(raw(spark, sf), "costo_envio")
+    return clean.outlier_rows(features.add_ratios(patchy(spark, sf)), "costo_por_km").select(
+        "split_key", "costo_envio", "distancia_km", "costo_por_km"
+    )
 
 
 @query
@@ -244,18 +247,18 @@ def exclude_columns(spark, sf):
 @query
 def clean_regression(spark, sf):
     df = binding.with_copies(binding.as_text(binding.with_nulls(raw(spark, sf))))
-    return rounded(clean.clean_regression(df))
+    return rounded(clean.clean_regression(df), 11)
 
 
 @query
 def clean_improved(spark, sf):
     df = binding.with_copies(binding.as_text(binding.with_nulls(raw(spark, sf))))
-    return rounded(clean.clean_improved(df))
+    return rounded(clean.clean_improved(df), 11)
 
 
 @query
 def clean_prepared(spark, sf):
-    return rounded(clean.clean_prepared(patchy(spark, sf)))
+    return rounded(clean.clean_prepared(patchy(spark, sf)), 11)
 
 
 @query
@@ -344,7 +347,7 @@ def box_stats(spark, sf):
 
 @query
 def box_stats_column(spark, sf):
-    return rounded(profile.box_stats(patchy(spark, sf), "costo_envio"))
+    return rounded(profile.box_stats(features.add_ratios(patchy(spark, sf)), "costo_por_km"))
 
 
 @query
@@ -389,7 +392,8 @@ def feat_precision(spark, sf):
     return rounded(
         features.add_precision_features(patchy(spark, sf)).select(
             "split_key", *features.PRECISION_NUMERIC, *features.PRECISION_CATEGORICAL
-        )
+        ),
+        11,
     )
 
 
@@ -405,13 +409,14 @@ def feat_improved(spark, sf):
     return rounded(
         features.add_improved_features(patchy(spark, sf)).select(
             "split_key", *features.IMPROVED_NUMERIC, *features.IMPROVED_CATEGORICAL
-        )
+        ),
+        11,
     )
 
 
 @query
 def feat_exploratory(spark, sf):
-    return rounded(features.add_exploratory_features(raw(spark, sf)))
+    return rounded(features.add_exploratory_features(raw(spark, sf)), 11)
 
 
 @query
@@ -552,7 +557,7 @@ def top_n(spark, sf):
 
 @query
 def problem_segments(spark, sf):
-    return rounded(score.problem_segments(_segments(spark, sf), 1000, 8))
+    return rounded(score.problem_segments(_segments(spark, sf), 300, 8))
 
 
 @query
