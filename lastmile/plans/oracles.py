@@ -614,3 +614,39 @@ SELECT clase AS fila, {", ".join(f"{r(m)} AS {m}" for m in THREE)}, support::DOU
 UNION ALL SELECT 'accuracy', {", ".join([r("sum(hits)::DOUBLE / sum(support)")] * 4)} FROM p
 UNION ALL SELECT 'macro avg', {", ".join(r(f"avg({m})") for m in THREE)}, sum(support)::DOUBLE FROM p
 UNION ALL SELECT 'weighted avg', {", ".join(r(f"sum({m} * support) / sum(support)") for m in THREE)}, sum(support)::DOUBLE FROM p"""
+
+# --- models with a plain SQL form -----------------------------------------------------------
+
+SPLIT = f"{TIDY}, tr AS (SELECT * FROM tidy WHERE split_key % 10 >= 2), te AS (SELECT * FROM tidy WHERE split_key % 10 < 2)"
+O["reg_mean_baseline"] = f"""WITH {SPLIT}, preds AS (SELECT 'mean_baseline' AS model, {TARGET} AS real, (SELECT avg({TARGET}) FROM tr) AS predicho FROM te),
+{METRICS} SELECT model, {SHOW_METRICS} FROM metrics"""
+FIT = "(SELECT regr_slope({0}, {1}) AS a, regr_intercept({0}, {1}) AS b FROM {2})"
+O["reg_linear"] = f"""WITH {SPLIT}, f AS {FIT.format(TARGET, "distancia_km", "tr")}
+SELECT split_key, {r("a * distancia_km + b", 4)} AS prediction FROM te, f"""
+O["reg_log_target"] = f"""WITH {SPLIT}, f AS {FIT.format(f"ln(1 + {TARGET})", "distancia_km", f"tr WHERE {TARGET} > 0")}
+SELECT split_key, {r("exp(a * distancia_km + b) - 1", 4)} AS prediction FROM te, f"""
+O["reg_residual_correction"] = f"""WITH {SPLIT}, f AS {FIT.format(TARGET, "distancia_km", "tr")},
+left_over AS (SELECT paradas_previas, {TARGET} - (a * distancia_km + b) AS e FROM tr, f),
+g AS (SELECT regr_slope(e, paradas_previas) AS c, regr_intercept(e, paradas_previas) AS d FROM left_over)
+SELECT split_key, {r("a * distancia_km + b + c * paradas_previas + d", 4)} AS prediction FROM te, f, g"""
+NEAR = """near AS (SELECT q.vec_id AS query, t.label AS value, row_number() OVER (PARTITION BY q.vec_id
+ORDER BY list_distance(q.embedding::DOUBLE[], t.embedding::DOUBLE[]), t.vec_id) AS k
+FROM embeddings q JOIN embeddings t ON q.vec_id % 10 < 2 AND t.vec_id % 10 >= 2)"""
+O["reg_knn"] = f"WITH {NEAR} SELECT query, {r('avg(value)')} AS prediction FROM near WHERE k <= 5 GROUP BY query"
+O["cls_knn"] = f"""WITH {NEAR}, v AS (SELECT query, value, count(*) AS n FROM near WHERE k <= 5 GROUP BY ALL)
+SELECT query, arg_min(value, (-n, value)) AS predicho FROM v GROUP BY query"""
+O["cluster_indexes"] = f"""WITH x AS (SELECT vec_id, label, i, embedding[i]::DOUBLE AS v FROM embeddings, range(1, 65) t(i)),
+c AS (SELECT label, i, avg(v) AS m FROM x GROUP BY ALL), o AS (SELECT i, avg(v) AS m FROM x GROUP BY i),
+n AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),
+d AS (SELECT x.vec_id, x.label, sum((x.v - c.m) * (x.v - c.m)) AS d FROM x JOIN c USING (label, i) GROUP BY ALL),
+w AS (SELECT label, sum(d) AS ss, avg(sqrt(d)) AS s FROM d GROUP BY label),
+b AS (SELECT sum(n.n * (c.m - o.m) * (c.m - o.m)) AS b FROM c JOIN o USING (i) JOIN n USING (label)),
+p AS (SELECT a.label AS la, z.label AS lz, sqrt(sum((a.m - z.m) * (a.m - z.m))) AS g FROM c a JOIN c z ON a.i = z.i AND a.label <> z.label GROUP BY ALL),
+r AS (SELECT la, max((wa.s + wz.s) / g) AS r FROM p JOIN w wa ON wa.label = la JOIN w wz ON wz.label = lz GROUP BY la)
+SELECT {r("(SELECT sum(ss) FROM w)", 4)} AS inertia,
+{r("((SELECT b FROM b) / ((SELECT count(*) FROM n) - 1)) / ((SELECT sum(ss) FROM w) / ((SELECT count(*) FROM embeddings) - (SELECT count(*) FROM n)))", 4)} AS calinski_harabasz_score,
+{r("(SELECT avg(r) FROM r)", 4)} AS davies_bouldin_score"""
+O["cluster_profile"] = f"""WITH {TIDY}, k AS (SELECT *, (id_bodega::INT % 3)::INT AS cluster FROM tidy)
+SELECT cluster, {", ".join(f"round_even(avg({c}), 2) AS {c}" for c in NUMBERS)}, count(*) AS cantidad_registros,
+round_even(avg({TARGET}), 2) AS tiempo_entrega_promedio FROM k GROUP BY cluster"""
+O["model_save_load"] = f"WITH {SPLIT} SELECT count(*) AS filas, 0::BIGINT AS distintas FROM te"
