@@ -22,7 +22,8 @@ SPACES = (
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-NUMBER_PATTERN = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))$"
+# Letters that Java's number parser would take ("1.0d", hex) are kept out by this pattern.
+NUMBER_PATTERN = r"^[-+0-9.eE\s]+$|^\s*[-+]?(?i:inf|infinity)\s*$"
 
 
 def strip_space(c: Column) -> Column:
@@ -30,8 +31,12 @@ def strip_space(c: Column) -> Column:
     return F.trim(c, F.lit(SPACES))
 
 
-def clean_text(c: Column, null_texts: Iterable[str] = NULL_TEXTS) -> Column:
-    text = F.lower(strip_space(c.cast("string")))
+def text_form(c: Column) -> Column:
+    return F.lower(strip_space(c.cast("string")))
+
+
+def known_text(text: Column, null_texts: Iterable[str] = NULL_TEXTS) -> Column:
+    """A text in its form, null where it stands for a missing value."""
     return F.when(~text.isin(list(null_texts)), text)
 
 
@@ -45,10 +50,18 @@ def text_key(c: Column) -> Column:
     return F.lower(strip_space(strip_accents(F.coalesce(c.cast("string"), F.lit("")))))
 
 
+def decimal_point(c: Column) -> Column:
+    return F.translate(c, ",", ".")
+
+
+def parsed(text: Column) -> Column:
+    """Text with decimal points to double; what is no number gives null."""
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+
+
 def numeric_text(c: Column) -> Column:
     """Text to double: decimal comma allowed, anything else that is no number gives null."""
-    text = strip_space(F.translate(c, ",", "."))
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    return parsed(decimal_point(c))
 
 
 def numeric(df: DataFrame, name: str) -> Column:

@@ -9,12 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lastmile.functions import clean_text as clean_text_column
-from lastmile.functions import numeric
-from lastmile.functions.columns import NULL_ID_TEXTS
+from lastmile.functions import decimal_point, known_text, numeric, parsed, text_form
+from lastmile.functions.columns import NULL_ID_TEXTS, NULL_TEXTS
 from lastmile.operators.features import add_improved_features
 from lastmile.operators.quantiles import quantiles
-from lastmile.operators.sizing import repeat_rows
+from lastmile.operators.sizing import repeat_rows, written
 from lastmile.schema import (
     CATEGORICAL,
     FEATURES,
@@ -48,18 +47,27 @@ def _replace(df: DataFrame, changed: dict[str, Column]) -> DataFrame:
 # --- text and numbers --------------------------------------------------------
 
 
+def _clean_texts(df: DataFrame, columns: list[str], null_texts: list[str]) -> DataFrame:
+    # Two projections, so that the text is formed once per row and then tested.
+    formed = _replace(df, {c: text_form(F.col(c)) for c in columns})
+    return _replace(formed, {c: known_text(F.col(c), null_texts) for c in columns})
+
+
 def clean_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return _replace(df, {c: clean_text_column(F.col(c)) for c in columns if c in df.columns})
+    return _clean_texts(df, [c for c in columns if c in df.columns], NULL_TEXTS)
 
 
 def clean_id(df: DataFrame, column: str = ID_COLUMN) -> DataFrame:
-    if column not in df.columns:
-        return df
-    return _replace(df, {column: clean_text_column(F.col(column), NULL_ID_TEXTS)})
+    return _clean_texts(df, [column] if column in df.columns else [], NULL_ID_TEXTS)
 
 
 def parse_numeric(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return _replace(df, {c: numeric(df, c) for c in columns if c in df.columns})
+    present = [c for c in columns if c in df.columns]
+    texts = [c for c in present if isinstance(df.schema[c].dataType, T.StringType)]
+    pointed = _replace(df, {c: decimal_point(F.col(c)) for c in texts})
+    return _replace(
+        pointed, {c: parsed(F.col(c)) if c in texts else numeric(df, c) for c in present}
+    )
 
 
 def parse_target(df: DataFrame, target: str = TARGET) -> DataFrame:
@@ -295,14 +303,14 @@ def _standardised(df: DataFrame, text: list[str]) -> DataFrame:
 
 def clean_regression(df: DataFrame) -> DataFrame:
     """Standardised, without copies or null targets, features and target capped."""
-    ready = drop_null_target(drop_exact_duplicates(_standardised(df, CATEGORICAL)))
+    ready = written(drop_null_target(drop_exact_duplicates(_standardised(df, CATEGORICAL))))
     return cap_outliers(ready, NUMERIC_AND_TARGET)
 
 
 def clean_improved(df: DataFrame, cap: bool = True) -> DataFrame:
     """As above with positive targets only, the target left uncapped, and features added."""
     ready = positive_target_only(drop_exact_duplicates(_standardised(df, CATEGORICAL)))
-    return add_improved_features(cap_outliers(ready, NUMERIC) if cap else ready)
+    return add_improved_features(cap_outliers(written(ready), NUMERIC) if cap else ready)
 
 
 def clean_prepared(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lastmile.functions import numeric, text_key
 from lastmile.operators.clean import TIME_NAMES, require_columns
 from lastmile.operators.quantiles import quantiles, value_ranks
-from lastmile.operators.sizing import BROADCAST_ROWS, checkpointed
+from lastmile.operators.sizing import BROADCAST_ROWS, written
 from lastmile.schema import CLASSES, LABEL, RISK, TARGET
 
 # Accepted column names per risk component.
@@ -117,7 +117,7 @@ def rank_percent(
     the distinct values are counted to be few.
     """
     keyed = df.select(*[numeric(df, c).alias(c) for c in columns])
-    ranks = checkpointed(value_ranks(keyed, list(columns)))
+    ranks = written(value_ranks(keyed, list(columns)))
     distinct = {r["_column"]: r["count"] for r in ranks.groupBy("_column").count().collect()}
     share = (F.col("_below") + (F.col("_n") + 1) / 2.0) / F.col("_total")
     out = df
@@ -179,7 +179,8 @@ def row_mean(columns: list[Column]) -> Column:
 def label_by_risk(df: DataFrame) -> tuple[DataFrame, dict[str, float]]:
     """Risk score from the operational columns, and its terciles as classes."""
     scored, names = risk_components(df)
-    raw = scored.withColumn("_score", row_mean([F.col(c) for c in names])).drop(*names)
+    # Written once: three passes follow, and the ranks cost one join per component.
+    raw = written(scored.withColumn("_score", row_mean([F.col(c) for c in names])).drop(*names))
     middle = quantiles(raw, {"_score": [0.5]})["_score"][0]
     filled = raw.withColumn("_score", F.coalesce("_score", F.lit(0.5 if middle is None else middle)))
     q33, q66 = quantiles(filled, {"_score": [1 / 3, 2 / 3]})["_score"]

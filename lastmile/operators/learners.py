@@ -22,7 +22,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lastmile.operators.sizing import checkpointed
+from lastmile.operators.sizing import written
 from lastmile.schema import TARGET
 
 SEED = 42
@@ -114,7 +114,7 @@ def fit_huber(
     """Each round fits a tree to the clipped residuals. The clip point and the start come
     from a mergeable quantile sketch; lineage is cut in the shared checkpoint folder."""
     start = train.agg(F.percentile_approx(label, 0.5, 10_000)).first()[0]
-    state = checkpointed(train.select("features", F.col(label).alias("_y"), F.lit(float(start)).alias("_f")))
+    state = written(train.select("features", F.col(label).alias("_y"), F.lit(float(start)).alias("_f")))
     trees = []
     for i in range(rounds):
         residual = F.col("_y") - F.col("_f")
@@ -128,7 +128,7 @@ def fit_huber(
             "features", "_y", (F.col("_f") + rate * F.col("_p")).alias("_f")
         )
         if (i + 1) % cut_every == 0:
-            state = checkpointed(state)
+            state = written(state)
     return HuberBoosting(float(start), rate, trees)
 
 

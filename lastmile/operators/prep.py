@@ -13,7 +13,7 @@ from lastmile.functions import numeric
 from lastmile.operators.clean import exclude_columns, infer_roles, require_columns
 from lastmile.operators.labels import fit_terciles, tercile_of
 from lastmile.operators.quantiles import quantiles
-from lastmile.operators.sizing import checkpointed, repeat_rows, running_before, small_side
+from lastmile.operators.sizing import repeat_rows, running_before, small_side, written
 from lastmile.schema import ID_COLUMN, LABEL, TARGET
 
 SPLIT_KEY = "split_key"
@@ -75,7 +75,7 @@ def split_stratified(
     )
     placed = (
         df.withColumns({"_l": F.col(label), "_b": bucket})
-        .join(F.broadcast(checkpointed(left)), ["_l", "_b"])  # classes x STRATA_BUCKETS rows
+        .join(F.broadcast(written(left)), ["_l", "_b"])  # classes x STRATA_BUCKETS rows
         .withColumn("split", F.when(F.col("_all"), "test").when(F.col("_left") <= 0, "train"))
     )
     whole = placed.where(F.col("split").isNotNull()).select(*df.columns, "split")
@@ -86,7 +86,7 @@ def split_stratified(
         .agg(F.count("*").alias("_n"))
     )
     # Copies are collapsed, the cut buckets are lined up, and each class counts from its start.
-    lined = checkpointed(running_before(cut, ["_l", key, *names], "_n", "_line"))
+    lined = written(running_before(cut, ["_l", key, *names], "_n", "_line"))
     starts = lined.groupBy("_l").agg(F.min("_line").alias("_first"))
     before = lined.join(F.broadcast(starts), "_l").withColumn(
         "_before", F.col("_line") - F.col("_first")

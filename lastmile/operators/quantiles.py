@@ -16,7 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lastmile.operators.sizing import checkpointed, small_side
+from lastmile.operators.sizing import written, small_side
 
 SMALL_ROWS = 1_000_000
 ROWS_PER_RANGE = 500_000
@@ -169,7 +169,7 @@ def value_ranks(df: DataFrame, columns: list[str], rows: int | None = None) -> D
         one = df.select(F.lit(c).alias("_column"), F.col(c).alias("_value"))
         parts.append(with_range(one, "_value", range_bounds(df, c, rows)))
     ranged = reduce(lambda a, b: a.unionAll(b), parts)
-    counted = checkpointed(
+    counted = written(
         ranged.groupBy("_column", "_range", "_value").agg(F.count("*").alias("_n"))
     )
     sizes = counted.groupBy("_column", "_range").agg(F.sum("_n").alias("n")).collect()

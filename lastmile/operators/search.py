@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lastmile.operators import learners
 from lastmile.operators.prep import fit_encoder, slot_names
 from lastmile.operators.score import cls_metrics, reg_metrics
-from lastmile.operators.sizing import checkpointed
+from lastmile.operators.sizing import written
 from lastmile.schema import LABEL, TARGET
 
 SEED = 42
@@ -109,7 +109,7 @@ def encoded_folds(
     for i in range(folds):
         train = df.where(F.col("fold") != i)
         encoder = fit_encoder(train, numbers, categories)
-        vectors = checkpointed(encoder.transform(df).select("features", "fold", *keep))
+        vectors = written(encoder.transform(df).select("features", "fold", *keep))
         made.append((vectors.where(F.col("fold") != i), vectors.where(F.col("fold") == i)))
     return made
 
@@ -277,7 +277,7 @@ def permutation_importance(
     shuffle is a permutation without one global sort. All features and repeats are
     scored in one pass over the stacked frame.
     """
-    keyed = checkpointed(test.select(*features, label).withColumn("_id", F.monotonically_increasing_id()))
+    keyed = written(test.select(*features, label).withColumn("_id", F.monotonically_increasing_id()))
     rows = keyed.count()
     strata = max(1, rows // 100_000)
     frames = []

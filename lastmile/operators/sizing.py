@@ -3,24 +3,42 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 COPIES_PER_CHUNK = 100_000
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared checkpoint folder and read on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder every executor can reach.
 
-    The folder is the one named in ``spark.checkpoint.dir``; a folder of our own is
-    only made where the session names none (tests, a laptop).
+    It is the one named in ``spark.checkpoint.dir``; a folder of our own is only made
+    where the session names none (tests, a laptop).
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lastmile-checkpoint-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write the frame once as a table in the shared folder and read on from there.
+
+    Cuts the lineage, so that later passes neither repeat the work nor depend on lost
+    executors; being columnar, they read only the columns they use.
+    """
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Like ``written`` with rows and partitions kept as they are."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -29,7 +47,7 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
     Beyond the limit the plain join is used, where adaptive execution splits hot keys.
     """
-    kept = checkpointed(df)
+    kept = written(df)
     return F.broadcast(kept) if kept.count() <= limit else kept
 
 

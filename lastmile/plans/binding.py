@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lastmile.operators.sizing import shared_folder
 from lastmile.schema import NUMERIC, NUMERIC_AND_TARGET
 
 # Valid in Spark SQL and DuckDB.
@@ -69,9 +69,7 @@ def with_null_features(df: DataFrame) -> DataFrame:
 
 def scratch(spark: SparkSession) -> str:
     """A fresh folder for written results, beside the shared checkpoints where there are any."""
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    root = shared or tempfile.mkdtemp(prefix="lastmile-")
-    return f"{root.rstrip('/')}/tables-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/results/{uuid.uuid4().hex}"
 
 
 # Simple arithmetic predictors, so that every score can be checked without a fitted model.

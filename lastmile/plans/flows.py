@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lastmile.operators import cluster, compare, features, learners, prep, score, search
-from lastmile.operators.sizing import checkpointed
+from lastmile.operators.sizing import written
 from lastmile.schema import CATEGORICAL, FEATURES, NUMERIC, TARGET
 
 
@@ -33,7 +33,7 @@ def prepare(
     split: DataFrame, numbers: list[str], categories: list[str], key: str = prep.SPLIT_KEY
 ) -> Data:
     encoder = prep.fit_encoder(split.where("split = 'train'"), numbers, categories)
-    vectors = checkpointed(encoder.transform(split))
+    vectors = written(encoder.transform(split))
     return Data(
         vectors.where("split = 'train'"), vectors.where("split = 'test'"), encoder, numbers, categories, key
     )
@@ -41,8 +41,8 @@ def prepare(
 
 def _score(data: Data, models: dict) -> tuple[DataFrame, DataFrame]:
     keep = list(dict.fromkeys([data.key, *[c for c in FEATURES if c in data.test.columns]]))
-    predicted = checkpointed(learners.predict_long(models, data.test, TARGET, keep))
-    return predicted, checkpointed(score.reg_metrics_full(predicted))
+    predicted = written(learners.predict_long(models, data.test, TARGET, keep))
+    return predicted, written(score.reg_metrics_full(predicted))
 
 
 def evaluate(split: DataFrame, estimators: dict | None = None, numbers=NUMERIC, categories=CATEGORICAL) -> dict:
@@ -69,7 +69,7 @@ def tune(
     made = search.encoded_folds(train, numbers, categories, folds, [TARGET])
     method, points = search.choose_points(grid or search.grid_for(name), limit, draws)
     fit = search.fit_named(estimator)
-    results = checkpointed(search.search(points, fit, made, objective))
+    results = written(search.search(points, fit, made, objective))
     best = points[search.best_row(results)["candidate"]]
     data = prepare(split, numbers, categories)
     models = {name: estimator.fit(data.train), f"{name}_tuned": fit(data.train, best)}
@@ -88,7 +88,7 @@ def improve(split: DataFrame, estimators: dict | None = None, grid: dict | None
     """Engineered features, a wider model set, automatic search of the best, mean baseline."""
     numbers = [*NUMERIC, *features.IMPROVED_NUMERIC]
     categories = [*CATEGORICAL, *features.IMPROVED_CATEGORICAL]
-    ready = checkpointed(features.add_improved_features(split))
+    ready = written(features.add_improved_features(split))
     tried = estimators or learners.improved_regressors(ready.where("split = 'train'"))
     base = evaluate(ready, tried, numbers, categories)
     space = grid or search.grid_for(base["best"], search.SPACES)
@@ -111,7 +111,7 @@ def operational(split: DataFrame, estimators: dict | None = None, grid: dict | N
     cuts = features.fit_cuts(split.where("split = 'train'"), features.LOGISTICS_CUTS)
     numbers = features.feature_union(NUMERIC, features.LOGISTICS_NUMERIC)
     categories = [*CATEGORICAL, *features.LOGISTICS_CATEGORICAL]
-    ready = checkpointed(features.add_logistics_features(split, cuts))
+    ready = written(features.add_logistics_features(split, cuts))
     tried = estimators or learners.base_regressors()
     base = evaluate(ready, tried, numbers, categories)
     accuracy = score.tolerance_accuracy(base["predictions"])
@@ -141,7 +141,7 @@ def precision(
     train = split.where("split = 'train'")
     cuts = features.fit_cuts(train, [*features.LOGISTICS_CUTS, *features.PRECISION_CUTS])
     ready = features.add_precision_features(features.add_logistics_features(split, cuts), cuts)
-    ready = checkpointed(prep.GroupMeans().fit(train).transform(ready))
+    ready = written(prep.GroupMeans().fit(train).transform(ready))
     numbers = features.feature_union(
         NUMERIC, features.LOGISTICS_NUMERIC, features.PRECISION_NUMERIC, features.HISTORY_NUMERIC
     )
@@ -166,7 +166,7 @@ def precision(
         tried, search.encoded_folds(folded, numbers, categories, folds, [TARGET])
     )
     whole = learners.full_model(data.encoder, models[best])
-    importance = checkpointed(
+    importance = written(
         search.permutation_importance(whole, ready.where("split = 'test'"), [*numbers, *categories], repeats=repeats)
     )
     errors = score.error_segments(score.error_direction(predicted.where(F.col("model") == best)))
@@ -219,7 +219,7 @@ def hard_errors(
     ready = features.add_error_focused_features(
         features.add_precision_features(features.add_logistics_features(split, cuts), cuts), cuts
     )
-    ready = checkpointed(ready)
+    ready = written(ready)
     numbers = features.feature_union(
         NUMERIC, features.LOGISTICS_NUMERIC, features.PRECISION_NUMERIC, features.ERROR_FOCUSED
     )
@@ -248,7 +248,7 @@ def hard_errors(
 
     def segments(model: str) -> DataFrame:
         errors = score.error_direction(predicted.where(F.col("model") == model))
-        return checkpointed(score.segment_metrics(score.error_segments(errors)))
+        return written(score.segment_metrics(score.error_segments(errors)))
 
     base_segments, new_segments = segments(first), segments(best)
     deltas = compare.version_deltas(best_row, baseline)
@@ -266,9 +266,9 @@ def clustering(
 ) -> dict:
     """Encode, compare numbers of clusters, fit, profile and project."""
     encoder = prep.fit_encoder(df, NUMERIC, CATEGORICAL, impute=False)
-    vectors = checkpointed(encoder.transform(df.dropna(subset=NUMERIC)))
+    vectors = written(encoder.transform(df.dropna(subset=NUMERIC)))
     model = cluster.fit_kmeans(vectors, k, restarts)
-    found = checkpointed(model.transform(vectors))
+    found = written(model.transform(vectors))
     return {
         "quality": cluster.cluster_quality(vectors, k_min, k_max, restarts),
         "clusters": found,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lastmile.operators import cluster, compare, knn, learners, prep, score, search
-from lastmile.operators.sizing import checkpointed
+from lastmile.operators.sizing import written
 from lastmile.plans import binding, flows
 from lastmile.plans.queries import query, rounded, tidy
 from lastmile.schema import CATEGORICAL, LABEL, NUMERIC, TARGET
@@ -155,7 +155,7 @@ def reg_train_many(spark, sf):
 def _class_fit(spark, sf, names: list[str]) -> tuple[prep.ClassData, dict, DataFrame]:
     ready = prep.prepare_by_time(tidy(spark, sf))
     encoder = ready.encoder()
-    vectors = checkpointed(encoder.transform(ready.rows))
+    vectors = written(encoder.transform(ready.rows))
     train, test = vectors.where("split = 'train'"), vectors.where("split = 'test'")
     known = learners.classifiers(train.count())
     known["random_forest"] = learners.RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, maxBins=learners.BINS, seed=learners.SEED)
@@ -207,7 +207,7 @@ def _clustered(spark, sf) -> DataFrame:
 @query
 def kmeans_fit(spark, sf):
     df = tidy(spark, sf)
-    vectors = checkpointed(prep.fit_encoder(df, NUMERIC, CATEGORICAL, impute=False).transform(df))
+    vectors = written(prep.fit_encoder(df, NUMERIC, CATEGORICAL, impute=False).transform(df))
     model = cluster.fit_kmeans(vectors, 3, restarts=2)
     return model.transform(vectors).groupBy("cluster").agg(F.count("*").alias("n"))
 
@@ -215,7 +215,7 @@ def kmeans_fit(spark, sf):
 @query
 def pca_2d(spark, sf):
     df = tidy(spark, sf)
-    vectors = checkpointed(prep.fit_encoder(df, NUMERIC, CATEGORICAL, impute=False).transform(df))
+    vectors = written(prep.fit_encoder(df, NUMERIC, CATEGORICAL, impute=False).transform(df))
     return rounded(cluster.pca_2d(vectors).select("split_key", "PC1", "PC2"), 4)
 
 
@@ -229,7 +229,7 @@ def cluster_indexes(spark, sf):
 @query
 def cluster_quality(spark, sf):
     df = tidy(spark, sf)
-    vectors = checkpointed(prep.fit_encoder(df, NUMERIC, CATEGORICAL, impute=False).transform(df))
+    vectors = written(prep.fit_encoder(df, NUMERIC, CATEGORICAL, impute=False).transform(df))
     return rounded(cluster.cluster_quality(vectors, 2, 4, restarts=1), 4)
 
 
@@ -330,7 +330,7 @@ def tree_importance(spark, sf):
 
 @query
 def feature_subset_eval(spark, sf):
-    split = checkpointed(_split(spark, sf))
+    split = written(_split(spark, sf))
     ranked = spark.createDataFrame(
         [(c, float(i)) for i, c in enumerate(reversed([*NUMERIC, *CATEGORICAL]))], "feature string, importance_mean double"
     )
