@@ -134,6 +134,20 @@ WHERE costo_por_km < costo_por_km_lo OR costo_por_km > costo_por_km_hi"""
 O["inf_to_null"] = f"""WITH {RAW} SELECT split_key,
 costo_envio / nullif(consumo_nafta, 0) AS costo_por_consumo FROM raw"""
 O["select_xy"] = f"WITH {RAW} SELECT {listed(NUMERIC)}, {listed(CATEGORIES)}, {TARGET} FROM raw"
+COLUMN_ROLES = {
+    **dict.fromkeys(["split_key", *NUMBERS], ["numeric"]), **dict.fromkeys(CATEGORIES, ["categorical"]),
+    "tiempo_sospechoso": ["boolean", "categorical"],
+}
+O["infer_roles"] = f"WITH {PATCHY}, f AS (SELECT *, coalesce({TARGET} < 10, false) AS tiempo_sospechoso FROM patchy) " + union(
+    [f"SELECT '{role}' AS role, '{c}' AS columna, count({c}) AS presentes FROM f" for c, roles in COLUMN_ROLES.items() for role in roles]
+)
+O["profile_types"] = f"WITH {PATCHY} " + union(
+    [
+        f"SELECT '{c}' AS columna, '{'bigint' if c == 'split_key' else 'string' if c in CATEGORIES else 'double'}' AS dtype, "
+        f"'{'categorica' if c in CATEGORIES else 'numerica'}' AS tipo_semantico, count({c}) AS presentes FROM patchy"
+        for c in ["split_key", *NUMBERS, *CATEGORIES]
+    ]
+)
 O["exclude_columns"] = """WITH e AS (SELECT *, 1 AS constante, value AS duracion, event_type AS clase FROM events),
 s AS (SELECT 'event_id' AS columna, 'identificador_alta_unicidad' AS motivo,
   count(DISTINCT event_id) / greatest(count(event_id), 1) >= 0.9 AS hit FROM e
@@ -146,7 +160,6 @@ UNION ALL SELECT 'constante', 'columna_constante', count(DISTINCT constante) <=
 UNION ALL SELECT 'duracion', 'posible_fuga_de_datos', true
 UNION ALL SELECT 'clase', 'columna_target', true)
 SELECT columna, motivo FROM s WHERE hit"""
-NAN_TEXT = "u AS (SELECT DISTINCT * EXCLUDE (split_key) FROM patchy)"
 U = f"{PATCHY}, u AS (SELECT DISTINCT * FROM patchy), known AS (SELECT * FROM u WHERE {TARGET} IS NOT NULL)"
 O["clean_regression"] = f"""WITH {U.replace(cleaned("id_bodega", True), cleaned("id_bodega"))}, {bounds_of("known", NUMBERS)}
 SELECT split_key, {", ".join(f"{r(clip(c), 11)} AS {c}" for c in NUMBERS)}, {listed(CATEGORIES)} FROM known, bounds"""

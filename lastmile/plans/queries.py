@@ -226,11 +226,17 @@ def select_xy(spark, sf):
     return clean.select_xy(raw(spark, sf))
 
 
+def _with_present(listed: DataFrame, df: DataFrame, key: str) -> DataFrame:
+    """Add the number of present values of each listed column."""
+    counts = df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, key, "presentes")
+    return listed.join(F.broadcast(counts), key)  # one row per column
+
+
 @query
 def infer_roles(spark, sf):
-    roles = clean.infer_roles(clean.flag_suspicious(raw(spark, sf)))
-    rows = [(role, c) for role, names in roles.items() for c in names]
-    return spark.createDataFrame(rows, "role string, columna string")
+    df = clean.flag_suspicious(patchy(spark, sf))
+    rows = [(role, c) for role, names in clean.infer_roles(df).items() for c in names]
+    return _with_present(spark.createDataFrame(rows, "role string, columna string"), df, "columna")
 
 
 @query
@@ -281,7 +287,8 @@ def profile_overview(spark, sf):
 
 @query
 def profile_types(spark, sf):
-    return profile.column_types(raw(spark, sf))
+    df = patchy(spark, sf)
+    return _with_present(profile.column_types(df), df, "columna")
 
 
 @query
@@ -430,7 +437,11 @@ def feature_lists(spark, sf):
         CATEGORICAL, features.LOGISTICS_CATEGORICAL, features.PRECISION_CATEGORICAL,
     )
     rows = [(i, c, dict(df.dtypes)[c]) for i, c in enumerate(features.present(df, wanted))]
-    return spark.createDataFrame(rows, "posicion int, feature string, tipo string")
+    return _with_present(
+        spark.createDataFrame(rows, "posicion int, feature string, tipo string"),
+        df.select(*[c for _, c, _ in rows]),
+        "feature",
+    )
 
 
 @query
