@@ -386,7 +386,7 @@ def prepare_by_time(
 ) -> ClassData:
     """Split first, then class thresholds and exclusions from the training rows only."""
     require_columns(df, [target])
-    split = split_random(df, key, test_share)
+    split = written(split_random(df, key, test_share))  # thresholds, exclusions and encoder read it
     train = split.where("split = 'train'")
     thresholds = fit_terciles(train, target)
     value = numeric(split, target)

@@ -20,7 +20,8 @@ TREES, DEPTH, ROUNDS = 20, 8, 20
 
 
 def _split(spark, sf) -> DataFrame:
-    return prep.split_random(tidy(spark, sf))
+    # Written once: fitting the preprocessing alone takes several passes.
+    return written(prep.split_random(tidy(spark, sf)))
 
 
 def _data(spark, sf) -> flows.Data:
