@@ -15,16 +15,39 @@ COPIES_PER_CHUNK = 100_000
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder every executor can reach.
 
-    It is the one named in ``spark.checkpoint.dir``; a folder of our own is only made
-    where the session names none (tests, a laptop).
+    It is the one named in ``spark.checkpoint.dir``. Only a session in one process
+    (tests, a laptop) may go without it and gets a folder of its own; on a cluster a
+    folder of the driver's machine would lose rows, so that a missing one is an error.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not runs_in_one_process(context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lastmile-checkpoint-"))
     return context.getCheckpointDir().rstrip("/")
 
 
+def runs_in_one_process(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system remove the folder when the session's process ends."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
+def release(df: DataFrame) -> None:
+    """Remove the files of a ``written`` table that nothing reads any more."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write the frame once as a table in the shared folder and read on from there.
 
@@ -33,6 +56,7 @@ def written(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    delete_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
