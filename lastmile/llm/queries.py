@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lastmile.llm import simhash
+from lastmile.llm import chat, mixing, quality_rules, simhash, toxicity
+from lastmile.llm.sample import held_out
 from lastmile.plans.binding import table
 
 
@@ -13,4 +14,37 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {"op1_simhash": op1_simhash}
+#: A conversation whose texts are control strings, beside those of the table.
+PROBE = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(PROBE, "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.formatted(turns.unionAll(probe)))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "ratio", "bad_chunks",
+    )
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.scored(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op3_chat_formatting": op3_chat_formatting,
+    "op4_quality_rules": op4_quality_rules,
+    "op6_mixing": op6_mixing,
+    "op9_toxicity": op9_toxicity,
+}

@@ -1,3 +1,41 @@
 """SQL counterparts of the text queries, where SQL can express them."""
 
-ORACLES: dict[str, str] = {}
+# Written out by hand rather than built from the template, so that it checks it.
+_ESCAPES = (
+    "<|im_start|>", "<|im_end|>", "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>",
+)
+
+
+def _escaped(column: str) -> str:
+    out = f"replace({column}, '\\', '\\\\')"
+    for control in _ESCAPES:
+        out = f"replace({out}, '{control}', '{control[0]}\\{control[1:]}')"
+    return out
+
+
+CHAT = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), moves AS (
+  SELECT *, lag(role) OVER w AS before, row_number() OVER w AS n,
+    lead(role) OVER w IS NULL AS is_last
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), judged AS (
+  SELECT *, coalesce(before, 'start') || '>' || role IN (
+    'start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user', 'assistant>tool', 'tool>assistant'
+  ) AS allowed FROM moves
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY n), '')) AS loss_sha256,
+  CAST(sum(12 + length(replace({_escaped("role")}, chr(10), '\\n')) + 1 + length({_escaped("text")}) + 11) AS BIGINT)
+    AS formatted_chars,
+  bool_and(allowed) AS valid,
+  bool_and(allowed) AND bool_or(is_last AND role = 'assistant') AS complete
+FROM judged GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op3_chat_formatting": CHAT}
