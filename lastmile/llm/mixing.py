@@ -99,7 +99,9 @@ def permuted(df: DataFrame, position: str, size: str, key: Column, rounds: int =
         df = df.withColumn("_mirror", F.pmod(turn - F.col(position), F.col(size)))
         swap = F.xxhash64(key, F.lit(r), F.greatest("_mirror", position)).bitwiseAND(F.lit(1).cast("long")) == 1
         df = df.withColumn(position, F.when(swap, F.col("_mirror")).otherwise(F.col(position)))
-    return df.drop("_mirror")
+    # Without nulls no filter on the result is pushed through the rounds, each of which would
+    # triple its expression.
+    return df.drop("_mirror").withColumn(position, F.coalesce(position, F.lit(0).cast("long")))
 
 
 def draws(
@@ -123,7 +125,7 @@ def draws(
     shards = max(1, round((total or 0.0) / per_shard))
     # Shards x sources rows, of which there are at most a quarter of the slots.
     grid = targets.sparkSession.range(shards * sources).select(
-        (F.col("id") / F.lit(max(sources, 1))).cast("long").alias("shard"), (F.col("id") % max(sources, 1)).alias("_no")
+        F.expr(f"id DIV {max(sources, 1)}").alias("shard"), (F.col("id") % max(sources, 1)).alias("_no")
     )
     chance = F.pmod(F.xxhash64("shard", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     upto = lambda edge: F.ceil(F.col(edge) / shards - chance).cast("long")
@@ -143,7 +145,7 @@ def slots(drawn: DataFrame, most_passes: int = MOST_PASSES, seed: int = SEED) ->
         drawn.repartition("shard", "source_no")
         .select("shard", "source_no", "blocks", F.explode(F.sequence(F.col("before"), F.col("before") + F.col("slots") - 1)).alias("_at"))
         .where(F.col("_at") < F.col("blocks") * most_passes)
-        .withColumn("pass", F.floor(F.col("_at") / F.col("blocks")).cast("int"))
+        .withColumn("pass", F.expr("CAST(_at DIV blocks AS INT)"))
         .withColumn("block", F.col("_at") % F.col("blocks"))
     )
     key = F.xxhash64(F.lit(seed), "source_no", "pass")
