@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lastmile.llm import chat, mixing, quality_rules, simhash, toxicity
+from lastmile.llm import chat, mixing, packing, quality_rules, simhash, toxicity
 from lastmile.llm.sample import held_out
 from lastmile.plans.binding import table
 
@@ -35,6 +36,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.scored(docs, table(spark, sf_dir, "labels"))
@@ -46,5 +51,6 @@ QUERIES = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_quality_rules": op4_quality_rules,
     "op6_mixing": op6_mixing,
+    "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
 }
