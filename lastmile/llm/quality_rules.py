@@ -7,14 +7,13 @@ lengths has its own limits.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lastmile.llm.batches import per_slice
+
 WHITE = " \t\n\r\v\f"
 SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS = 50
@@ -94,22 +93,21 @@ def judged(
         " ratio double, bad_chunks double, in_band boolean"
     )
 
-    @F.pandas_udf(schema)
-    def judge(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def prepare():
         compressor = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
-        for part in texts:
-            rows = []
-            for value in part:
-                value = value or ""
-                data = value.encode()
-                words = data.split()
-                whole, bad = compression(data, compressor, bands, chunk_bytes)
-                rows.append((
-                    len(words), len(value) - sum(map(value.count, WHITE)),
-                    sum(map(value.count, SYMBOLS[1:-1])), duplicate_lines(value), repeated_words(words),
-                    whole, bad, not outside(len(data), whole, bands) and bad <= max_bad_chunks,
-                ))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(",")])
+
+        def judge(value: str | None) -> tuple:
+            value = value or ""
+            data = value.encode()
+            words = data.split()
+            whole, bad = compression(data, compressor, bands, chunk_bytes)
+            return (
+                len(words), len(value) - sum(map(value.count, WHITE)),
+                sum(map(value.count, SYMBOLS[1:-1])), duplicate_lines(value), repeated_words(words),
+                whole, bad, not outside(len(data), whole, bands) and bad <= max_bad_chunks,
+            )
+
+        return lambda texts: [judge(t) for t in texts]
 
     names = [c.split()[0] for c in schema.split(",")][:-1]
     own = [c for c in docs.columns if c not in (*names, "base_failed", "kept", "_judged")]
@@ -117,7 +115,7 @@ def judged(
         100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
     )
     return (
-        docs.withColumn("_judged", judge(F.col(text)))
+        docs.withColumn("_judged", per_slice(text, schema, prepare))
         .select(*own, *[F.col(f"_judged.{n}").alias(n) for n in names], F.col("_judged.in_band").alias("_in"))
         .withColumn("base_failed", base_failed)
         .withColumn("kept", ~F.col("base_failed") & F.col("_in"))

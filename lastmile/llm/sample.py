@@ -21,7 +21,8 @@ def labelled(
     """(id, text, y) of at most ``most`` labelled documents that are not held out.
 
     Which ones is decided by a hash of the id. Null labels and ids are left out; of repeated
-    ids one text and the greater label count. The ids, bounded by ``most``, are broadcast.
+    labels the greater counts. Repeated documents give a row each; users aggregate by ``_id``.
+    The ids, bounded by ``most``, are broadcast.
     """
     chosen = (
         labels.where(F.col(label).isNotNull() & F.col(id_column).isNotNull() & ~held_out(id_column))
@@ -31,5 +32,4 @@ def labelled(
     return (
         docs.select(F.col(id_column).alias("_id"), F.coalesce(text, F.lit("")).alias("text"))
         .join(F.broadcast(chosen), "_id")
-        .groupBy("_id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
     )

@@ -8,14 +8,13 @@ that the labelled sample shows in many different toxic documents and hardly else
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lastmile.llm.batches import per_slice
 from lastmile.llm.boosting import BoostedTrees, Isotonic
 from lastmile.llm.sample import labelled
 from lastmile.operators.sizing import written
@@ -146,12 +145,11 @@ def fit(
     sample = written(labelled(docs, labels, "toxic", most_labelled, id_column, text))
     learnt = learnt_words(sample)
 
-    @F.pandas_udf("array<double>")
-    def rows(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in texts:
-            yield pd.Series([features(t, learnt) for t in part])
-
-    table = sample.select("y", F.pmod(F.xxhash64("_id"), F.lit(5)).alias("fold"), rows("text").alias("x")).toArrow()
+    rows = per_slice("text", "array<double>", lambda: lambda texts: [features(t, learnt) for t in texts])
+    table = (
+        sample.select("_id", "y", rows.alias("x")).groupBy("_id").agg(F.max("y").alias("y"), F.min("x").alias("x"))
+        .select("y", F.pmod(F.xxhash64("_id"), F.lit(5)).alias("fold"), "x").toArrow()
+    )
     y = table.column("y").to_numpy().astype(float)
     x = np.array(table.column("x").to_pylist(), dtype=float).reshape(-1, len(FEATURES))
     last = table.column("fold").to_numpy() == 0
@@ -165,12 +163,7 @@ def fit(
 def score(model: ToxicityModel, text: str = "text") -> Column:
     """Probability that the text is toxic; null and empty texts are scored as empty."""
 
-    @F.pandas_udf("double")
-    def scores(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in texts:
-            yield pd.Series(model.scores(part))
-
-    return scores(F.col(text))
+    return per_slice(text, "double", lambda: lambda texts: model.scores(texts).tolist())
 
 
 def scored(
