@@ -28,7 +28,7 @@ END_OF_TEXT = 0
 SPECIAL = "<|endoftext|>"
 # The vocabulary's own pre-token pattern, with possessive repeats: the same pieces, found faster.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
-PIECES_PER_BUCKET = 20_000
+PIECES_PER_BUCKET = 2_000
 TRIPLES_PER_LENGTH = 6
 ITERATIONS = 400
 
