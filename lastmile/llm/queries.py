@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lastmile.llm import chat, mixing, packing, quality_rules, simhash, toxicity
+from lastmile.llm import chat, mixing, packing, pii, quality_rules, simhash, toxicity
 from lastmile.llm.sample import held_out
 from lastmile.plans.binding import table
 
@@ -46,6 +46,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detected(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_chat_formatting": op3_chat_formatting,
@@ -53,4 +57,5 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
+    "op10_pii": op10_pii,
 }
