@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lastmile.llm import chat, mixing, packing, pii, quality_rules, simhash, toxicity
+from lastmile.llm import chat, mixing, packing, pii, quality_model, quality_rules, simhash, toxicity
 from lastmile.llm.sample import held_out
 from lastmile.plans.binding import table
 
@@ -36,6 +36,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_model.scored(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -55,6 +61,7 @@ QUERIES = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_quality_rules": op4_quality_rules,
     "op6_mixing": op6_mixing,
+    "op7_quality_model": op7_quality_model,
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
