@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lastmile.llm import chat, mixing, packing, pii, quality_model, quality_rules, simhash, toxicity
+from lastmile.llm import ann, chat, mixing, packing, pii, quality_model, quality_rules, simhash, toxicity
 from lastmile.llm.sample import held_out
 from lastmile.plans.binding import table
 
@@ -15,6 +15,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(rows, rows.where("vec_id % 50 = 0"), k=5)
+
+
 #: A conversation whose texts are control strings, beside those of the table.
 PROBE = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
 
@@ -58,6 +63,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_nearest": op2_nearest,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_quality_rules": op4_quality_rules,
     "op6_mixing": op6_mixing,
