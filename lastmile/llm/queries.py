@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lastmile.llm import ann, chat, mixing, packing, pii, quality_model, quality_rules, simhash, toxicity
+from lastmile.llm import ann, chat, html_text, mixing, packing, pii, quality_model, quality_rules, simhash, toxicity
 from lastmile.llm.sample import held_out
 from lastmile.plans.binding import table
 
@@ -37,6 +37,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ QUERIES = {
     "op2_nearest": op2_nearest,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_quality_rules": op4_quality_rules,
+    "op5_html_text": op5_html_text,
     "op6_mixing": op6_mixing,
     "op7_quality_model": op7_quality_model,
     "op8_packing": op8_packing,
