@@ -18,6 +18,10 @@ OPTIMIZED_VERSION = {
     "version": "current_optimized", "MAE": 11.59, "RMSE": 14.58, "R2": 0.0290,
     "acc_5_min": 28.33, "acc_10_min": 49.58, "acc_15_min": 70.00,
 }
+OPERATIONAL_VERSION = {
+    "version": "current_operational", "MAE": 11.5062, "RMSE": 14.7391, "R2": 0.0082,
+    "acc_5_min": 29.17, "acc_10_min": 55.00, "acc_15_min": 70.42,
+}
 BALANCED_VERSION = {
     "version": "current_balanced_model", "model": "GradientBoostingRegressor",
     "MAE": 11.4711, "RMSE": 14.5709, "R2": 0.0307,

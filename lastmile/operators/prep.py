@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lastmile.functions import numeric
 from lastmile.operators.clean import exclude_columns, infer_roles, require_columns
@@ -17,14 +19,18 @@ from lastmile.operators.sizing import repeat_rows, running_before, small_side, w
 from lastmile.schema import ID_COLUMN, LABEL, TARGET
 
 SPLIT_KEY = "split_key"
-BUCKETS = 10
+BUCKETS = 10_000  # of the hashed key, so a share is met to a hundredth of a percent
 STRATA_BUCKETS = 4096
 
 
-def row_key(df: DataFrame, *columns: str) -> Column:
-    """A stable non-negative key of the row content, for tables without one."""
-    names = list(columns) or df.columns
-    return F.pmod(F.xxhash64(*names), F.lit(1_000_003))
+def hashed_key(key: str, digits: int = 1) -> Column:
+    """An even spread of any key, the same in every engine: eight digits of its text's MD5.
+
+    ``digits`` says from which one on, so that splits and folds are independent. A null key
+    counts as an empty text.
+    """
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.conv(F.substring(F.md5(text.cast("binary")), digits, 8), 16, 10).cast("long")
 
 
 def split_random(df: DataFrame, key: str = SPLIT_KEY, test_share: float = 0.2) -> DataFrame:
@@ -33,8 +39,7 @@ def split_random(df: DataFrame, key: str = SPLIT_KEY, test_share: float = 0.2) -
         raise ValueError("the test share must lie between 0 and 1")
     bound = round(test_share * BUCKETS)
     return df.withColumn(
-        "split",
-        F.when(F.pmod(F.col(key), F.lit(BUCKETS)) < bound, "test").otherwise("train"),
+        "split", F.when(hashed_key(key) % BUCKETS < bound, "test").otherwise("train")
     )
 
 
@@ -48,15 +53,16 @@ def parts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def split_stratified(
     df: DataFrame, label: str = LABEL, key: str = SPLIT_KEY, test_share: float = 0.2
 ) -> DataFrame:
-    """Add ``split`` with the test share met in every class.
+    """Add ``split`` with the test share met in every class and in total.
 
-    Rows of a class are taken in the order of key buckets, keys and row contents.
+    Classes get the whole part of their share; what the total still lacks goes to the largest
+    remainders, ties by class. Rows of a class are taken in the order of key buckets, keys and row contents.
     Bucket counts tell which buckets go to one side as a whole; only the one bucket
     per class where the quota falls is looked at row by row.
     """
     counts = df.groupBy(label).agg(F.count("*").alias("n")).collect()  # one row per class
     total = sum(r["n"] for r in counts)
-    n_test = -(-int(round(total * test_share * 1e6)) // 1_000_000)
+    n_test = math.ceil(total * test_share - 1e-9)
     possible = (
         len(counts) > 1
         and min(r["n"] for r in counts) >= 2
@@ -65,17 +71,28 @@ def split_stratified(
     )
     if not possible:
         return split_random(df, key, test_share)
-    bucket = F.pmod(F.col(key), F.lit(STRATA_BUCKETS)).cast("int")
+    bucket = (hashed_key(key) % STRATA_BUCKETS).cast("int")
+    whole_part = {r[label]: math.floor(r["n"] * test_share + 1e-9) for r in counts}
+    remainders = sorted(
+        ((r["n"] * test_share - whole_part[r[label]], r[label]) for r in counts),
+        key=lambda x: (-x[0], x[1] is None, x[1]),
+    )
+    for _, name in remainders[: n_test - sum(whole_part.values())]:
+        whole_part[name] += 1
+    quotas = df.sparkSession.createDataFrame(
+        list(whole_part.items()), StructType([StructField("_q", df.schema[label].dataType), StructField("_quota", LongType())])
+    )
     sizes = df.groupBy(F.col(label).alias("_l"), bucket.alias("_b")).agg(F.count("*").alias("_n"))
     by_class = Window.partitionBy("_l")  # at most STRATA_BUCKETS rows per class
     upto = F.sum("_n").over(by_class.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
-    quota = F.ceil(F.sum("_n").over(by_class) * test_share)
-    left = sizes.withColumn("_left", quota - (upto - F.col("_n"))).select(
+    left = sizes.withColumn("_upto", upto).join(quotas, sizes["_l"].eqNullSafe(quotas["_q"])).withColumn(
+        "_left", F.col("_quota") - F.col("_upto") + F.col("_n")
+    ).select(
         "_l", "_b", "_left", (F.col("_left") >= F.col("_n")).alias("_all")
     )
     placed = (
         df.withColumns({"_l": F.col(label), "_b": bucket})
-        .join(F.broadcast(written(left)), ["_l", "_b"])  # classes x STRATA_BUCKETS rows
+        .join(small_side(left), ["_l", "_b"])  # classes x STRATA_BUCKETS rows
         .withColumn("split", F.when(F.col("_all"), "test").when(F.col("_left") <= 0, "train"))
     )
     whole = placed.where(F.col("split").isNotNull()).select(*df.columns, "split")
@@ -119,10 +136,8 @@ def effective_folds(df: DataFrame, label: str | None, folds: int) -> int:
 
 
 def assign_folds(df: DataFrame, folds: int = 5, key: str = SPLIT_KEY) -> DataFrame:
-    """Add ``fold`` from the key. The bucket digit of the split is divided out first."""
-    return df.withColumn(
-        "fold", F.pmod(F.floor(F.col(key) / F.lit(BUCKETS)), F.lit(folds)).cast("int")
-    )
+    """Add ``fold`` from the key, by other digits of its hash than the split's."""
+    return df.withColumn("fold", (hashed_key(key, 9) % folds).cast("int"))
 
 
 # --- imputing, scaling, one-hot as plain columns -------------------------------

@@ -4,7 +4,9 @@
 for a bounded table and fatal for an unbounded one. Here a row count decides:
 up to ``SMALL_ROWS`` rows the built-in is used, beyond it the values are cut into
 ranges (boundaries from a mergeable sketch), the ranges are counted, and only the
-ranges that hold a wanted rank are looked at value by value. Both ways are exact.
+ranges that hold a wanted rank are looked at; a range that is still large is cut again.
+Both ways are exact and give the same results: NaN is the greatest value, ranks on equal
+values are that value (infinities too), others are interpolated by the built-in's formula.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from lastmile.operators.sizing import written, small_side
 
 SMALL_ROWS = 1_000_000
 ROWS_PER_RANGE = 500_000
-MAX_RANGES = 10_000
+MAX_RANGES = 10_000  # of one pass; large ranges are cut again in the next
 
 
 def range_bounds(df: DataFrame, value: str, rows: int) -> list[float]:
@@ -37,65 +39,93 @@ def range_bounds(df: DataFrame, value: str, rows: int) -> list[float]:
 
 
 def with_range(df: DataFrame, value: str, bounds: list[float]) -> DataFrame:
-    """Add ``_range``, the index of the value range; rows without a value are dropped."""
+    """Add ``_range``, the index of the value range; rows without a value are dropped.
+
+    NaN has the last range to itself.
+    """
     present = df.where(F.col(value).isNotNull())
-    if not bounds:
-        return present.withColumn("_range", F.lit(0.0))
-    splits = [-math.inf, *[b for b in bounds if math.isfinite(b)], math.inf]
-    return Bucketizer(splits=splits, inputCol=value, outputCol="_range").transform(present)
+    inner = [b for b in bounds if math.isfinite(b)]
+    if not inner:
+        return present.withColumn("_range", F.isnan(value).cast("double"))
+    splits = [-math.inf, *inner, math.inf]
+    ranged = Bucketizer(splits=splits, inputCol=value, outputCol="_range", handleInvalid="keep")
+    return ranged.transform(present)
 
 
 def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
 
 
+def _at_ranks(
+    df: DataFrame, keys: list[str], value: str, targets: DataFrame, rows: int, last_largest: float = math.inf
+) -> DataFrame:
+    """(keys, _i, _rank, value): the value at each wanted rank, counted from 0 within its keys.
+
+    Only the ranges that hold a rank are kept. While the largest of them has more rows than
+    one sorted run should, they are cut again, as groups of their own; copies of one value,
+    which no cut divides, collapse anyway.
+    """
+    bounds = range_bounds(df, value, rows)
+    ranged = with_range(df, value, bounds)
+    sizes = ranged.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
+    running = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    ended = sizes.withColumn("_end", F.sum("_n").over(running))  # at most MAX_RANGES rows per key
+    hit = (ended["_end"] > targets["_rank"]) & (ended["_end"] - ended["_n"] <= targets["_rank"])
+    placed = small_side(
+        ended.join(targets, _same(ended, targets, keys) & hit).select(
+            *[targets[k] for k in keys], "_range", "_n", "_i", "_rank",
+            (F.col("_rank") - F.col("_end") + F.col("_n")).alias("_local"),
+        )
+    )
+    spots = small_side(placed.select(*keys, "_range").distinct())
+    near = ranged.join(spots, _same(ranged, spots, [*keys, "_range"]), "left_semi")
+    inner, level = [*keys, "_range"], f"_range{len(keys)}"
+    largest, left = placed.select(*inner, "_n").distinct().agg(F.max("_n"), F.sum("_n")).first()
+    if largest and 2 * ROWS_PER_RANGE < largest < last_largest and left < rows:
+        deeper = [*keys, level]
+        found = _at_ranks(
+            written(near.withColumnRenamed("_range", level)), deeper, value,
+            placed.select(*keys, F.col("_range").alias(level), "_i", F.col("_local").alias("_rank")), left, largest,
+        ).withColumnsRenamed({level: "_range", "_rank": "_local"})
+    else:
+        counted = near.groupBy(*inner, value).agg(F.count("*").alias("_c"))
+        within = Window.partitionBy(*inner).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+        ranked = counted.withColumn("_last", F.sum("_c").over(within))
+        here = (ranked["_last"] > placed["_local"]) & (ranked["_last"] - ranked["_c"] <= placed["_local"])
+        found = ranked.join(placed, _same(ranked, placed, inner) & here).select(
+            *[placed[k] for k in inner], "_i", "_local", ranked[value]
+        )
+    found = written(found)  # a row per wanted rank
+    return found.join(placed, _same(found, placed, [*inner, "_i", "_local"])).select(
+        *[placed[k] for k in keys], placed["_i"], placed["_rank"], found[value]
+    )
+
+
 def _ranged_quantiles(
     df: DataFrame, keys: list[str], value: str, probs: list[float], rows: int
 ) -> DataFrame:
     """One row per key with array ``q``; exact linear interpolation between ranks."""
-    ranged = with_range(df, value, range_bounds(df, value, rows))
-    sizes = ranged.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
-    by_key = Window.partitionBy(*keys)  # at most MAX_RANGES rows per key
-    running = by_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    kept = df.where(F.col(value).isNotNull())
     wanted = F.array(
         *[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]
     )
-    placed = (
-        sizes.withColumns(
-            {"_end": F.sum("_n").over(running), "_total": F.sum("_n").over(by_key)}
-        )
-        .withColumn("_before", F.col("_end") - F.col("_n"))
+    spots = (
+        kept.groupBy(*keys).agg(F.count("*").alias("_total"))
         .withColumn("_w", F.explode(wanted))
         .withColumn("_pos", F.col("_w.p") * (F.col("_total") - 1))
-        .withColumns({"_lo": F.floor("_pos"), "_hi": F.ceil("_pos")})
-        .where((F.col("_end") > F.col("_lo")) & (F.col("_before") <= F.col("_hi")))
-    )
-    targets = small_side(
-        placed.select(*keys, "_range", "_before", F.col("_w.i").alias("_i"), "_pos", "_lo", "_hi")
-    )
-    spots = small_side(targets.select(*keys, "_range").distinct())
-    near = ranged.join(spots, _same(ranged, spots, [*keys, "_range"]), "left_semi")
-    counted = near.groupBy(*keys, "_range", value).agg(F.count("*").alias("_n"))
-    within = (
-        Window.partitionBy(*keys, "_range")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranked = counted.withColumn("_last", F.sum("_n").over(within))
-    first, last = F.col("_before") + F.col("_last") - F.col("_n"), F.col("_before") + F.col("_last")
-
-    def holds(rank: str) -> Column:
-        return F.max(F.when((first <= F.col(rank)) & (F.col(rank) < last), F.col(value)))
-
-    joined = ranked.join(targets, _same(ranked, targets, [*keys, "_range"])).select(
-        *[targets[k] for k in keys],
-        ranked[value],
-        "_n", "_last", "_before", "_i", "_pos", "_lo", "_hi",
+        .select(*keys, F.col("_w.i").alias("_i"), "_pos", F.floor("_pos").alias("_lo"), F.ceil("_pos").alias("_hi"))
     )
-    points = joined.groupBy(*keys, "_i", "_pos", "_lo").agg(
-        holds("_lo").alias("_a"), holds("_hi").alias("_b")
+    spots = written(spots)
+    ranks = F.explode(F.array_distinct(F.array("_lo", "_hi")))
+    found = _at_ranks(kept, keys, value, spots.select(*keys, "_i", ranks.alias("_rank")), rows)
+    points = found.join(spots, _same(found, spots, [*keys, "_i"])).select(
+        *[spots[k] for k in keys], spots["_i"], "_pos", "_lo", "_hi", "_rank", found[value].alias("_v")
+    ).groupBy(*keys, "_i", "_pos", "_lo", "_hi").agg(
+        F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_a"),
+        F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_v"))).alias("_b"),
     )
-    exact = F.col("_a") + (F.col("_pos") - F.col("_lo")) * (F.col("_b") - F.col("_a"))
+    between = (F.col("_hi") - F.col("_pos")) * F.col("_a") + (F.col("_pos") - F.col("_lo")) * F.col("_b")
+    exact = F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(between)
     return points.groupBy(*keys).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("_i", exact.alias("v")))), lambda s: s["v"]

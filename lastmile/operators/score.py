@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
@@ -137,14 +138,15 @@ class ToleranceEvaluator(
 ):
     """Share of predictions within the tolerance, as a search objective."""
 
+    minutes = Param(Params._dummy(), "minutes", "tolerated absolute error", TypeConverters.toFloat)
+
     def __init__(self, labelCol: str = "label", predictionCol: str = "prediction", minutes: float = 10):
         super().__init__()
-        self._set(labelCol=labelCol, predictionCol=predictionCol)
-        self.minutes = minutes
+        self._set(labelCol=labelCol, predictionCol=predictionCol, minutes=minutes)
 
     def _evaluate(self, dataset: DataFrame) -> float:
         error = F.abs(F.col(self.getLabelCol()) - F.col(self.getPredictionCol()))
-        return dataset.agg(F.avg((error <= self.minutes).cast("double"))).first()[0] or 0.0
+        return dataset.agg(F.avg((error <= self.getOrDefault(self.minutes)).cast("double"))).first()[0] or 0.0
 
     def isLargerBetter(self) -> bool:
         return True

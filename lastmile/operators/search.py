@@ -126,7 +126,7 @@ def cross_validate(
         try:
             fitted = models[name].copy().fit(train)
         except Exception as error:  # a failing candidate must not stop the others
-            return name, None, f"{type(error).__name__}: {error}"[:300]
+            return name, None, f"{type(error).__name__}: {error}"
         scored = [
             fitted.transform(part).select(
                 F.lit(name).alias("model"), F.lit(i).alias("fold"), F.lit(tag).alias("part"),

@@ -162,8 +162,10 @@ def precision(
     best = compare.rank_precision(metrics).first()["model"]
     plain = tried[best.removesuffix("_log_target")]
     folded = prep.assign_folds(ready.where("split = 'train'"), folds)
+    # Means of the target over all training rows would leak into the folds.
+    leak_free = [c for c in numbers if c not in features.HISTORY_NUMERIC]
     validated = search.cross_validate(
-        tried, search.encoded_folds(folded, numbers, categories, folds, [TARGET])
+        tried, search.encoded_folds(folded, leak_free, categories, folds, [TARGET])
     )
     whole = learners.full_model(data.encoder, models[best])
     importance = written(

@@ -124,15 +124,15 @@ def reg_log_target(spark, sf):
 
 @query
 def reg_residual_correction(spark, sf):
-    train, test = prep.parts(_split(spark, sf))
-    base = learners.linear().fit(_one_feature(train, "distancia_km"))
-    first = base.transform(_one_feature(train, "distancia_km")).withColumn(
-        "_residual", F.col(TARGET) - F.col("prediction")
-    ).drop("prediction", "features")
-    second = learners.linear("_residual").fit(_one_feature(first, "paradas_previas"))
-    corrected = base.transform(_one_feature(test, "distancia_km")).withColumnRenamed("prediction", "_b").drop("features")
-    out = second.transform(_one_feature(corrected, "paradas_previas"))
-    return rounded(out.select("split_key", (F.col("_b") + F.col("prediction")).alias("prediction")), 4)
+    both = _split(spark, sf)
+    for column, name in (("distancia_km", "_first"), ("paradas_previas", "_second")):
+        both = _one_feature(both, column).withColumnRenamed("features", name)
+    train, test = prep.parts(both)
+    base, rest = learners.linear(), learners.linear()
+    fitted = learners.fit_residual_correction(
+        train, base.copy({base.featuresCol: "_first"}), rest.copy({rest.featuresCol: "_second"})
+    )
+    return rounded(fitted.transform(test).select("split_key", "prediction"), 4)
 
 
 @query

@@ -86,7 +86,7 @@ O["sink_best_row"] = f"WITH {PREDS}, {METRICS} SELECT model, {SHOW_METRICS} FROM
 
 # --- cleaning ---------------------------------------------------------------------
 
-O["normalize_columns"] = f"WITH {RAW} SELECT split_key, distancia_km, clima FROM raw"
+O["normalize_columns"] = f"WITH {RAW} SELECT * FROM raw"
 O["require_columns"] = f"WITH {RAW} SELECT count(*) AS n FROM raw"
 O["clean_text"] = f"WITH {TIDY} SELECT split_key, {listed(TEXTS)} FROM tidy"
 O["clean_id_category"] = f"WITH {TIDY} SELECT split_key, id_bodega FROM tidy"
@@ -382,7 +382,14 @@ O["feature_catalog"] = f"WITH {TIDY} " + union(
     ]
 )
 O["text_normalize"] = """SELECT doc_id,
-lower(trim(regexp_replace(strip_accents(coalesce(lang || ' Crítico Ñandú' || chr(9) || source, '')), '^\\s+|\\s+$', '', 'g'))) AS clave FROM documents"""
+lower(trim(regexp_replace(strip_accents(coalesce(text || ' Crítico Ñandú' || chr(9) || source, '')), '^\\s+|\\s+$', '', 'g'))) AS clave FROM documents"""
+
+# The hashed key of splits (first eight digits) and folds (next eight).
+def hashed(key: str, at: int = 1) -> str:
+    return f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR)), {at}, 8)) AS BIGINT)"
+
+
+IN_TEST = f"{hashed('split_key')} % 10000 < 2000"
 
 # --- labels, ranks, groups, joins ----------------------------------------------------
 
@@ -442,7 +449,7 @@ O["group_mean_encode"] = f"""WITH {PATCHY}, tr AS (SELECT * FROM patchy WHERE sp
 {", ".join(f"m_{c} AS (SELECT {c}, avg({TARGET}) AS m FROM tr WHERE {c} IS NOT NULL GROUP BY {c})" for c in GROUPS)}
 SELECT split_key, {", ".join(r(f"coalesce(m_{c}.m, g.g)") + f" AS hist_mean_target_by_{c}" for c in GROUPS)}
 FROM patchy p CROSS JOIN g {" ".join(f"LEFT JOIN m_{c} ON p.{c} = m_{c}.{c}" for c in GROUPS)}"""
-O["group_mean_out_of_fold"] = f"""WITH {PATCHY}, f AS (SELECT *, ((split_key // 10) % 5)::INTEGER AS fold FROM patchy),
+O["group_mean_out_of_fold"] = f"""WITH {PATCHY}, f AS (SELECT *, ({hashed('split_key', 9)} % 5)::INTEGER AS fold FROM patchy),
 k AS (SELECT trafico_nivel, fold, sum({TARGET}) AS s, count({TARGET}) AS n FROM f WHERE {TARGET} IS NOT NULL GROUP BY ALL),
 t AS (SELECT trafico_nivel, sum(s) AS ts, sum(n) AS tn FROM k GROUP BY trafico_nivel)
 SELECT split_key, f.fold, {r(f"coalesce((ts - s) / nullif(tn - n, 0), (SELECT avg({TARGET}) FROM f))")} AS hist_mean_target_by_trafico_nivel
@@ -520,20 +527,24 @@ SELECT {SHOW_FULL} FROM pool ORDER BY pool.MAE, pool.RMSE, pool.R2 DESC LIMIT 1"
 
 # --- splitting and preprocessing -------------------------------------------------------
 
-O["split_random"] = f"""WITH {RAW} SELECT CASE WHEN split_key % 10 < 2 THEN 'test' ELSE 'train' END AS split, clima, count(*) AS n
+O["split_random"] = f"""WITH {RAW} SELECT CASE WHEN {IN_TEST} THEN 'test' ELSE 'train' END AS split, clima, count(*) AS n
 FROM raw GROUP BY ALL"""
-O["split_stratified"] = """WITH o AS (SELECT event_id, event_type,
-row_number() OVER (PARTITION BY event_type ORDER BY event_id % 4096, event_id) AS k,
-count(*) OVER (PARTITION BY event_type) AS n FROM events)
-SELECT event_id, event_type, CASE WHEN k <= ceil(n * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM o"""
-O["split_then_label"] = f"""WITH {PATCHY}, {TRAIN_CUTS}, l AS (SELECT CASE WHEN split_key % 10 < 2 THEN 'test' ELSE 'train' END AS split,
+# Test rows per class {0} of table {1}: whole parts, the rest to the largest remainders.
+QUOTAS = """c AS (SELECT {0} AS class, count(*) AS n FROM {1} GROUP BY 1),
+parts AS (SELECT class, n, floor(n * 0.2::DOUBLE + 1e-9) AS whole, n * 0.2::DOUBLE - floor(n * 0.2::DOUBLE + 1e-9) AS rest FROM c),
+quotas AS (SELECT class, n, (whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, class)
+  <= (SELECT ceil(sum(n) * 0.2::DOUBLE - 1e-9) - sum(whole) FROM parts) THEN 1 ELSE 0 END)::BIGINT AS quota FROM parts)"""
+O["split_stratified"] = f"""WITH o AS (SELECT event_id, event_type,
+row_number() OVER (PARTITION BY event_type ORDER BY {hashed("event_id")} % 4096, event_id) AS k FROM events),
+{QUOTAS.format("event_type", "events")}
+SELECT event_id, event_type, CASE WHEN k <= quota THEN 'test' ELSE 'train' END AS split FROM o JOIN quotas ON class = event_type"""
+O["split_then_label"] = f"""WITH {PATCHY}, {TRAIN_CUTS.replace("split_key % 10 >= 2", f"NOT ({IN_TEST})")}, l AS (SELECT CASE WHEN {IN_TEST} THEN 'test' ELSE 'train' END AS split,
 {CLASS.format(f"(CASE WHEN {TARGET} > 0 THEN {TARGET} END)")} AS categoria_entrega FROM patchy, cuts)
 SELECT split, categoria_entrega, count(*) AS n FROM l GROUP BY ALL"""
-O["prepare_classification"] = f"""WITH {TIDY}, {timed("tidy")},
-c AS (SELECT categoria_entrega, count(*) AS n FROM timed GROUP BY 1)
-SELECT 'test' AS split, categoria_entrega, ceil(n * 0.2::DOUBLE)::BIGINT AS n FROM c
-UNION ALL SELECT 'train', categoria_entrega, n - ceil(n * 0.2::DOUBLE)::BIGINT FROM c"""
-O["kfold_assign"] = f"""WITH {TIDY}, {timed("tidy")} SELECT ((split_key // 10) % 5)::INTEGER AS fold, categoria_entrega, count(*) AS n
+O["prepare_classification"] = f"""WITH {TIDY}, {timed("tidy")}, {QUOTAS.format("categoria_entrega", "timed")}
+SELECT 'test' AS split, class AS categoria_entrega, quota AS n FROM quotas
+UNION ALL SELECT 'train', class, n - quota FROM quotas"""
+O["kfold_assign"] = f"""WITH {TIDY}, {timed("tidy")} SELECT ({hashed('split_key', 9)} % 5)::INTEGER AS fold, categoria_entrega, count(*) AS n
 FROM timed GROUP BY ALL"""
 MODES = {c: f"(SELECT {c} FROM tr WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)" for c in CATEGORIES}
 O["impute"] = f"""WITH {PATCHY}, tr AS (SELECT * FROM patchy WHERE split_key % 10 >= 2),
@@ -587,11 +598,11 @@ O["decision_notes"] = f"""WITH {SCORED} SELECT model, CASE WHEN model = 'constan
 CASE WHEN MAE < 11.59 THEN 'MAE mejor que tecnico' ELSE 'MAE no mejora tecnico' END || ' | ' ||
 CASE WHEN RMSE < 14.58 THEN 'RMSE mejor que tecnico' ELSE 'RMSE no mejora tecnico' END || ' | ' ||
 CASE WHEN R2 > 0.029 THEN 'R2 mejor que tecnico' ELSE 'R2 no mejora tecnico' END || ' | ' ||
-CASE WHEN acc_10_min >= 49.58 THEN 'mantiene/mejora acc_10 operacional' ELSE 'pierde acc_10 operacional' END END AS decision_notes,
+CASE WHEN acc_10_min >= 55.0 THEN 'mantiene/mejora acc_10 operacional' ELSE 'pierde acc_10 operacional' END END AS decision_notes,
 CASE WHEN MAE < 11.59 AND RMSE < 14.58 AND R2 > 0.029 THEN 'Mejoro la estimacion exacta del tiempo de entrega.'
-WHEN MAE < 11.59 OR RMSE < 14.58 THEN CASE WHEN acc_10_min < 49.58 THEN 'Mejoro tecnicamente pero perdio acierto operacional.'
+WHEN MAE < 11.59 OR RMSE < 14.58 THEN CASE WHEN acc_10_min < 55.0 THEN 'Mejoro tecnicamente pero perdio acierto operacional.'
 ELSE 'Mejoro tecnicamente y mantuvo/mejoro acierto operacional relevante.' END
-WHEN acc_10_min >= 49.58 THEN 'Mejoro operacionalmente pero no tecnicamente.'
+WHEN acc_10_min >= 55.0 THEN 'Mejoro operacionalmente pero no tecnicamente.'
 ELSE 'Empeoro respecto a modelos anteriores para precision y operacion.' END AS conclusion,
 CASE WHEN acc_10_min > 49.58 THEN 'El modelo mejoro operacionalmente porque aumento el acierto dentro de +/-10 minutos.'
 WHEN RMSE < 14.58 THEN 'El modelo mejoro tecnicamente, pero no mejoro el criterio operacional principal.'
@@ -630,7 +641,7 @@ UNION ALL SELECT 'weighted avg', {", ".join(r(f"sum({m} * support) / sum(support
 
 # --- models with a plain SQL form -----------------------------------------------------------
 
-SPLIT = f"{TIDY}, tr AS (SELECT * FROM tidy WHERE split_key % 10 >= 2), te AS (SELECT * FROM tidy WHERE split_key % 10 < 2)"
+SPLIT = f"{TIDY}, tr AS (SELECT * FROM tidy WHERE NOT ({IN_TEST})), te AS (SELECT * FROM tidy WHERE {IN_TEST})"
 O["reg_mean_baseline"] = f"""WITH {SPLIT}, preds AS (SELECT 'mean_baseline' AS model, {TARGET} AS real, (SELECT avg({TARGET}) FROM tr) AS predicho FROM te),
 {METRICS} SELECT model, {SHOW_METRICS} FROM metrics"""
 FIT = "(SELECT regr_slope({0}, {1}) AS a, regr_intercept({0}, {1}) AS b FROM {2})"

@@ -111,8 +111,9 @@ def sink_best_row(spark, sf):
 
 @query
 def normalize_columns(spark, sf):
-    df = raw(spark, sf).select("split_key", "distancia_km", "clima")
-    return clean.normalize_columns(df.toDF(" Split Key", "Distancia KM ", "CLIMA"))
+    df = raw(spark, sf)
+    odd = [f" {c.replace('_', ' ').title() if i % 2 else c.upper()} " for i, c in enumerate(df.columns)]
+    return clean.normalize_columns(df.toDF(*odd))
 
 
 @query
@@ -458,7 +459,7 @@ def feature_catalog(spark, sf):
 @query
 def text_normalize(spark, sf):
     docs = binding.table(spark, sf, "documents")
-    return docs.select("doc_id", text_key(F.concat("lang", F.lit(" Crítico Ñandú\t"), "source")).alias("clave"))
+    return docs.select("doc_id", text_key(F.concat("text", F.lit(" Crítico Ñandú\t"), "source")).alias("clave"))
 
 
 # --- labels, ranks, groups, joins ---------------------------------------------------
@@ -763,10 +764,10 @@ def decision_notes(spark, sf):
     versions = score.reg_metrics_full(binding.predictions(tidy(spark, sf))).withColumn(
         "version", F.when(F.col("model") == "constant", "baseline").otherwise("precision_experiment")
     )
-    stored = compare.OPTIMIZED_VERSION
-    return compare.decision_notes(versions, stored, stored).select(
+    stored, operational = compare.OPTIMIZED_VERSION, compare.OPERATIONAL_VERSION
+    return compare.decision_notes(versions, stored, operational).select(
         "model", "decision_notes",
-        compare.precision_conclusion(stored, stored).alias("conclusion"),
+        compare.precision_conclusion(stored, operational).alias("conclusion"),
         compare.operational_conclusion(stored).alias("conclusion_operacional"),
     )
 

@@ -1,10 +1,14 @@
 """The ways taken on large data give the same results as plain ones."""
 
+import os
+from urllib.parse import unquote
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lastmile.operators import clean, knn, prep, profile, quantiles, sizing
+from lastmile.operators import clean, knn, prep, profile, quantiles, score, sizing
+from lastmile.sources import tables
 
 
 @pytest.fixture()
@@ -38,6 +42,28 @@ def test_ranged_group_quantiles_equal_builtin(skewed, many_ranges):
         assert b[g] == pytest.approx(a[g], abs=1e-12)
 
 
+def test_nan_and_infinities_are_treated_alike_at_every_size(spark, monkeypatch):
+    nan, inf = float("nan"), float("inf")
+    values = [nan] * 5 + [inf] * 30 + [-inf] * 10 + [float(i % 40) for i in range(300)] + [None] * 3
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    probs = [0.0, 0.01, 0.05, 0.3, 0.5, 0.77, 0.93, 0.98, 1.0]
+    small = quantiles.quantiles(df, {"v": probs})["v"]
+    for per_range in (500_000, 100, 10, 3):
+        monkeypatch.setattr(quantiles, "ROWS_PER_RANGE", per_range)
+        large = quantiles.quantiles(df, {"v": probs}, small_rows=0)["v"]
+        assert np.array_equal(np.array(small), np.array(large), equal_nan=True), per_range
+
+
+def test_large_ranges_are_cut_again(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "ROWS_PER_RANGE", 20)
+    monkeypatch.setattr(quantiles, "MAX_RANGES", 4)
+    df = spark.range(2000).select(F.sqrt("id").alias("v"), (F.col("id") % 3).alias("g"))
+    probs = [0.1, 0.5, 0.999]
+    small = quantiles.grouped_quantiles(df, ["g"], "v", probs).collect()
+    large = quantiles.grouped_quantiles(df, ["g"], "v", probs, small_rows=0).collect()
+    assert {r.g: r.q for r in large} == {r.g: pytest.approx(r.q, abs=1e-12) for r in small}
+
+
 def test_all_null_column_has_no_quantiles(spark):
     df = spark.range(5).select(F.lit(None).cast("double").alias("x"))
     assert quantiles.quantiles(df, {"x": [0.5]}) == {"x": [None]}
@@ -98,3 +124,58 @@ def test_box_stats_ways_agree(skewed, many_ranges):
     assert [x[:2] for x in a] == [x[:2] for x in b]
     for x, y in zip(a, b):
         assert list(y[2:]) == pytest.approx(list(x[2:]))
+
+
+@pytest.mark.parametrize("share", [0.04, 0.15, 0.2, 0.25, 0.5])
+def test_split_meets_any_share_for_any_keys(spark, share):
+    rows = spark.range(20_000).select((F.col("id") * 10).alias("split_key"))
+    got = prep.split_random(rows, test_share=share).where("split = 'test'").count() / 20_000
+    assert got == pytest.approx(share, abs=0.012)
+    folds = prep.assign_folds(rows, 5).groupBy("fold").count().collect()
+    assert len(folds) == 5 and min(r["count"] for r in folds) > 3_700
+
+
+def test_stratified_total_is_exact(spark):
+    rows = spark.range(103).select("id", (F.col("id") % 7).cast("string").alias("c"))
+    split = prep.split_stratified(rows, "c", "id", 0.2)
+    assert split.where("split = 'test'").count() == 21 and split.count() == 103
+    per_class = split.where("split = 'test'").groupBy("c").count().collect()
+    assert {r["count"] for r in per_class} == {3}
+
+
+def test_null_and_odd_keys_are_spread(spark):
+    rows = spark.createDataFrame([(None,)] * 3 + [("k%d" % i,) for i in range(200)], "split_key string")
+    split = prep.split_random(rows)
+    assert split.where("split_key IS NULL").select("split").distinct().count() == 1
+    assert 20 <= split.where("split = 'test'").count() <= 60
+
+
+def test_a_cluster_needs_a_shared_folder():
+    assert sizing.runs_in_one_process("local[8]") and sizing.runs_in_one_process("local")
+    assert not sizing.runs_in_one_process("local-cluster[3,2,1024]")
+    assert not sizing.runs_in_one_process("spark://host:7077")
+
+
+def test_written_tables_can_be_released(spark):
+    df = sizing.written(spark.range(10))
+    folder = df.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("//", "/")
+    assert os.path.isdir(folder)
+    sizing.release(df)
+    assert not os.path.exists(folder)
+
+
+def test_tolerance_evaluator_keeps_its_minutes(spark, tmp_path):
+    path = str(tmp_path / "evaluator")
+    score.ToleranceEvaluator(minutes=5).save(path)
+    df = spark.createDataFrame([(10.0, 16.0), (10.0, 14.0)], "label double, prediction double")
+    assert score.ToleranceEvaluator.load(path).evaluate(df) == 0.5
+
+
+def test_preferred_csv_is_found_among_many(spark, tmp_path):
+    for name in ("a.csv", "b [1].csv", "z.csv"):
+        (tmp_path / name).write_text("x\n1\n")
+    assert unquote(tables.discover_csv(spark, str(tmp_path), "b [1].csv")).endswith("b [1].csv")
+    with pytest.warns(UserWarning):
+        assert tables.discover_csv(spark, str(tmp_path), "none.csv").endswith("a.csv")
+    with pytest.raises(FileNotFoundError):
+        tables.discover_csv(spark, os.path.dirname(__file__), "x.csv")
