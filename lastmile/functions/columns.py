@@ -55,8 +55,19 @@ def decimal_point(c: Column) -> Column:
 
 
 def parsed(text: Column) -> Column:
-    """Text with decimal points to double; what is no number gives null."""
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    """Text with decimal points to double; what is no number gives null.
+
+    Plain numbers are told by their first and last character; only other texts that the
+    cast takes (suffixes, hex, infinities, NaN, outer space) are held against the pattern.
+    """
+    value = text.try_cast("double")
+    first, last = F.substring(text, 1, 1), F.substring(text, -1, 1)
+    plain = (
+        (first.between("0", "9") | first.isin("-", "+", "."))
+        & (last.between("0", "9") | (last == "."))
+        & ~F.contains(text, F.lit("x")) & ~F.contains(text, F.lit("X"))
+    )
+    return F.when(value.isNull(), value).when(plain | text.rlike(NUMBER_PATTERN), value)
 
 
 def numeric_text(c: Column) -> Column:

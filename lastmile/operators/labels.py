@@ -116,7 +116,8 @@ def rank_percent(
     Ranks belong to distinct values; they are joined back by value, broadcast where
     the distinct values are counted to be few.
     """
-    keyed = df.select(*[numeric(df, c).alias(c) for c in columns])
+    # Written once: the count, the sketches and every column's count read it.
+    keyed = written(df.select(*[numeric(df, c).alias(c) for c in columns]))
     ranks = written(value_ranks(keyed, list(columns)))
     distinct = {r["_column"]: r["count"] for r in ranks.groupBy("_column").count().collect()}
     share = (F.col("_below") + (F.col("_n") + 1) / 2.0) / F.col("_total")
@@ -126,10 +127,13 @@ def rank_percent(
             "_value", (1 - share if source in low_is_risky else share).alias(name)
         )
         side = F.broadcast(scored) if distinct.get(source, 0) <= BROADCAST_ROWS else scored
-        out = (
-            out.withColumn("_key", numeric(df, source))
-            .join(side, F.col("_key") == F.col("_value"), "left")
-            .drop("_key", "_value")
+        # Null keys match nothing; a random negative mark instead of the one null spreads them.
+        out = out.withColumn("_key", numeric(df, source)).withColumn(
+            "_mark", F.when(F.col("_key").isNull(), -1 - F.floor(F.rand(42) * 4096)).otherwise(0)
+        )
+        side = side.withColumn("_zero", F.lit(0).cast("long"))
+        out = out.join(side, (F.col("_key").eqNullSafe(F.col("_value"))) & (F.col("_mark") == F.col("_zero")), "left").drop(
+            "_key", "_value", "_mark", "_zero"
         )
     return out
 

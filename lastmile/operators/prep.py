@@ -234,6 +234,9 @@ class GroupMeans:
     means: dict[str, DataFrame] = field(default_factory=dict)
 
     def fit(self, train: DataFrame) -> GroupMeans:
+        present = [c for c in self.columns if c in train.columns]
+        # Written once with these columns only: one pass for the mean, one per category column.
+        train = written(train.select(self.target, *present))
         self.overall = train.agg(F.avg(self.target)).first()[0]
         self.means = {
             c: small_side(
@@ -241,8 +244,7 @@ class GroupMeans:
                 .groupBy(F.col(c).alias("_category"))
                 .agg(F.avg(self.target).alias("_mean"))
             )
-            for c in self.columns
-            if c in train.columns
+            for c in present
         }
         return self
 

@@ -25,17 +25,21 @@ ROWS_PER_RANGE = 500_000
 MAX_RANGES = 10_000  # of one pass; large ranges are cut again in the next
 
 
-def range_bounds(df: DataFrame, value: str, rows: int) -> list[float]:
-    """Inner boundaries that cut ``value`` into ranges of roughly equal row counts.
+def all_range_bounds(df: DataFrame, columns: list[str], rows: int) -> dict[str, list[float]]:
+    """Inner boundaries that cut each column into ranges of roughly equal row counts.
 
-    At most MAX_RANGES numbers reach the driver.
+    One pass for all columns; at most MAX_RANGES numbers each reach the driver.
     """
     ranges = min(MAX_RANGES, math.ceil(rows / ROWS_PER_RANGE))
-    if ranges < 2:
-        return []
+    if ranges < 2 or not columns:
+        return {c: [] for c in columns}
     grid = [i / ranges for i in range(1, ranges)]
-    found = df.agg(F.percentile_approx(value, grid, 10 * ranges).alias("b")).first()["b"]
-    return sorted(set(found or []))
+    found = df.agg(*[F.percentile_approx(c, grid, 10 * ranges).alias(c) for c in columns]).first()
+    return {c: sorted(set(found[c] or [])) for c in columns}
+
+
+def range_bounds(df: DataFrame, value: str, rows: int) -> list[float]:
+    return all_range_bounds(df, [value], rows)[value]
 
 
 def with_range(df: DataFrame, value: str, bounds: list[float]) -> DataFrame:
@@ -194,10 +198,11 @@ def value_ranks(df: DataFrame, columns: list[str], rows: int | None = None) -> D
     shifted by the ranges before it, so no task sees a whole column.
     """
     rows = df.count() if rows is None else rows
+    bounds = all_range_bounds(df, columns, rows)
     parts = []
     for c in columns:
         one = df.select(F.lit(c).alias("_column"), F.col(c).alias("_value"))
-        parts.append(with_range(one, "_value", range_bounds(df, c, rows)))
+        parts.append(with_range(one, "_value", bounds[c]))
     ranged = reduce(lambda a, b: a.unionAll(b), parts)
     counted = written(
         ranged.groupBy("_column", "_range", "_value").agg(F.count("*").alias("_n"))
