@@ -313,6 +313,29 @@ def cross_validate(spark, sf):
     return rounded(search.cross_validate(tried, _folds(spark, sf)), 4)
 
 
+@query
+def cross_validate_line(spark, sf):
+    """Five folds of a line on one feature, which SQL can fit too."""
+    train = prep.assign_folds(_split(spark, sf).where("split = 'train'"), 5)
+    folds = search.encoded_folds(train, ["distancia_km"], [], 5, [TARGET])
+    return rounded(search.cross_validate({"line": learners.linear()}, folds), 4)
+
+
+@query
+def reg_ridge_line(spark, sf):
+    train, test = prep.parts(_one_feature(_split(spark, sf), "distancia_km"))
+    fitted = learners.ridge(train, alpha=1000.0).fit(train)
+    return rounded(fitted.transform(test).select("split_key", "prediction"), 4)
+
+
+@query
+def reg_tree_groups(spark, sf):
+    """A tree over a feature of seven values predicts the mean of each."""
+    train, test = prep.parts(_one_feature(_split(spark, sf), "paradas_previas"))
+    fitted = learners.tree(depth=7).fit(train)
+    return rounded(fitted.transform(test).select("split_key", "prediction"), 4)
+
+
 @query
 def permutation_importance(spark, sf):
     split = _split(spark, sf)

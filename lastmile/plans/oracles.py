@@ -653,6 +653,20 @@ O["reg_residual_correction"] = f"""WITH {SPLIT}, f AS {FIT.format(TARGET, "dista
 left_over AS (SELECT paradas_previas, {TARGET} - (a * distancia_km + b) AS e FROM tr, f),
 g AS (SELECT regr_slope(e, paradas_previas) AS c, regr_intercept(e, paradas_previas) AS d FROM left_over)
 SELECT split_key, {r("a * distancia_km + b + c * paradas_previas + d", 4)} AS prediction FROM te, f, g"""
+O["reg_ridge_line"] = f"""WITH {SPLIT}, f AS (SELECT covar_pop({TARGET}, distancia_km) * count(*) / (var_pop(distancia_km) * count(*) + 1000) AS a,
+avg({TARGET}) AS y, avg(distancia_km) AS x FROM tr)
+SELECT split_key, {r("y + a * (distancia_km - x)", 4)} AS prediction FROM te, f"""
+O["reg_tree_groups"] = f"""WITH {SPLIT}, g AS (SELECT paradas_previas, avg({TARGET}) AS m FROM tr GROUP BY 1)
+SELECT split_key, {r("m", 4)} AS prediction FROM te JOIN g USING (paradas_previas)"""
+CV_MEANS = ", ".join(
+    f"{r(f'{f}({m}) FILTER (WHERE NOT seen)', 4)} AS cv_{m.lower()}_{s}"
+    for m in ("MAE", "RMSE", "R2") for f, s in (("avg", "mean"), ("stddev_pop", "std"))
+) + ", " + ", ".join(f"{r(f'avg({m}) FILTER (WHERE seen)', 4)} AS train_{m.lower()}_mean" for m in ("MAE", "RMSE", "R2"))
+O["cross_validate_line"] = f"""WITH {SPLIT}, rows AS (SELECT {TARGET} AS y, distancia_km AS x, {hashed("split_key", 9)} % 5 AS fold FROM tr),
+f AS (SELECT i.k, regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM rows, range(5) i(k) WHERE fold <> k GROUP BY i.k),
+e AS (SELECT k, fold <> k AS seen, y, y - (a * x + b) AS e FROM rows, f),
+s AS (SELECT k, seen, avg(abs(e)) AS MAE, sqrt(avg(e * e)) AS RMSE, 1 - sum(e * e) / (var_pop(y) * count(*)) AS R2 FROM e GROUP BY k, seen)
+SELECT 'line' AS model, {CV_MEANS}, '' AS cv_error FROM s"""
 NEAR = """near AS (SELECT q.vec_id AS query, t.label AS value, row_number() OVER (PARTITION BY q.vec_id
 ORDER BY list_distance(q.embedding::DOUBLE[], t.embedding::DOUBLE[]), t.vec_id) AS k
 FROM embeddings q JOIN embeddings t ON q.vec_id % 10 < 2 AND t.vec_id % 10 >= 2)"""
