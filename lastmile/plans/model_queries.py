@@ -110,6 +110,11 @@ def reg_knn(spark, sf):
     return rounded(knn.knn_regress(*_embedded(spark, sf), k=5))
 
 
+@query
+def reg_knn_manhattan(spark, sf):
+    return rounded(knn.knn_regress(*_embedded(spark, sf), k=7, p=1))
+
+
 @query
 def cls_knn(spark, sf):
     return knn.knn_classify(*_embedded(spark, sf), k=5)

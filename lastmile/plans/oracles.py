@@ -671,6 +671,11 @@ NEAR = """near AS (SELECT q.vec_id AS query, t.label AS value, row_number() OVER
 ORDER BY list_distance(q.embedding::DOUBLE[], t.embedding::DOUBLE[]), t.vec_id) AS k
 FROM embeddings q JOIN embeddings t ON q.vec_id % 10 < 2 AND t.vec_id % 10 >= 2)"""
 O["reg_knn"] = f"WITH {NEAR} SELECT query, {r('avg(value)')} AS prediction FROM near WHERE k <= 5 GROUP BY query"
+O["reg_knn_manhattan"] = f"""WITH pairs AS (SELECT q.vec_id AS query, t.vec_id AS near, t.label AS value,
+list_sum(list_transform(range(1, 65), lambda i: abs(q.embedding[i]::DOUBLE - t.embedding[i]::DOUBLE))) AS d
+FROM embeddings q JOIN embeddings t ON q.vec_id % 10 < 2 AND t.vec_id % 10 >= 2),
+near AS (SELECT query, value, row_number() OVER (PARTITION BY query ORDER BY d, near) AS k FROM pairs)
+SELECT query, {r('avg(value)')} AS prediction FROM near WHERE k <= 7 GROUP BY query"""
 O["cls_knn"] = f"""WITH {NEAR}, v AS (SELECT query, value, count(*) AS n FROM near WHERE k <= 5 GROUP BY ALL)
 SELECT query, arg_min(value, (-n, value)) AS predicho FROM v GROUP BY query"""
 O["cluster_indexes"] = f"""WITH x AS (SELECT vec_id, label, i, embedding[i]::DOUBLE AS v FROM embeddings, range(1, 65) t(i)),
