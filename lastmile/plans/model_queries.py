@@ -214,7 +214,7 @@ def _clustered(spark, sf) -> DataFrame:
 def kmeans_fit(spark, sf):
     df = tidy(spark, sf)
     vectors = written(prep.fit_encoder(df, NUMERIC, CATEGORICAL, impute=False).transform(df))
-    model = cluster.fit_kmeans(vectors, 3, restarts=2)
+    model = cluster.fit_kmeans(vectors, 3, restarts=10)
     return model.transform(vectors).groupBy("cluster").agg(F.count("*").alias("n"))
 
 
@@ -347,7 +347,7 @@ def permutation_importance(spark, sf):
     data = flows.prepare(split, NUMERIC, CATEGORICAL)
     whole = learners.full_model(data.encoder, learners.tree().fit(data.train))
     return rounded(
-        search.permutation_importance(whole, split.where("split = 'test'"), [*NUMERIC, *CATEGORICAL], repeats=3), 4
+        search.permutation_importance(whole, split.where("split = 'test'"), [*NUMERIC, *CATEGORICAL], repeats=10), 4
     )
 
 
@@ -359,10 +359,10 @@ def tree_importance(spark, sf):
 
 @query
 def feature_subset_eval(spark, sf):
-    split = written(_split(spark, sf))
-    ranked = spark.createDataFrame(
-        [(c, float(i)) for i, c in enumerate(reversed([*NUMERIC, *CATEGORICAL]))], "feature string, importance_mean double"
-    )
+    split = _split(spark, sf)
+    data = flows.prepare(split, NUMERIC, CATEGORICAL)
+    whole = learners.full_model(data.encoder, learners.linear().fit(data.train))
+    ranked = written(search.permutation_importance(whole, split.where("split = 'test'"), [*NUMERIC, *CATEGORICAL], repeats=10))
     return rounded(flows.feature_subsets(split, learners.linear(), ranked, NUMERIC, CATEGORICAL), 4)
 
 
