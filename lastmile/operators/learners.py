@@ -161,13 +161,16 @@ class ResidualCorrection:
         )
 
 
-def fit_residual_correction(train: DataFrame, base, residual, label: str = TARGET) -> ResidualCorrection:
-    first = base.fit(train)
-    left = first.transform(train).withColumn("_residual", F.col(label) - F.col("prediction")).drop(
+def correct_residuals(fitted, train: DataFrame, residual, label: str = TARGET) -> ResidualCorrection:
+    """A fitted model with a second one fitted to its training residuals."""
+    left = fitted.transform(train).withColumn("_residual", F.col(label) - F.col("prediction")).drop(
         "prediction"
     )
-    second = residual.copy({residual.labelCol: "_residual"}).fit(left)
-    return ResidualCorrection(first, second)
+    return ResidualCorrection(fitted, residual.copy({residual.labelCol: "_residual"}).fit(left))
+
+
+def fit_residual_correction(train: DataFrame, base, residual, label: str = TARGET) -> ResidualCorrection:
+    return correct_residuals(base.fit(train), train, residual, label)
 
 
 def mean_baseline(train: DataFrame, test: DataFrame, label: str = TARGET) -> DataFrame:

@@ -135,6 +135,7 @@ def operational(split: DataFrame, estimators: dict | None = None, grid: dict | N
 def precision(
     split: DataFrame, estimators: dict | None = None, folds: int = 5, repeats: int = 10,
     technical: dict = compare.OPTIMIZED_VERSION, stored: dict = compare.OPTIMIZED_VERSION,
+    operational: dict = compare.OPERATIONAL_VERSION,
 ) -> dict:
     """Adds precision features, group means and log targets; cross validation, importance,
     segments and feature subsets of the chosen model."""
@@ -184,8 +185,8 @@ def precision(
         "predictions": predicted, "cross_validation": validated, "importance": importance,
         "segments": score.segment_metrics(errors),
         "subsets": feature_subsets(ready, plain, importance, numbers, categories),
-        "versions": compare.decision_notes(versions, technical, stored),
-        "conclusion": row.select("model", compare.precision_conclusion(technical, stored).alias("conclusion")),
+        "versions": compare.decision_notes(versions, technical, operational),
+        "conclusion": row.select("model", compare.precision_conclusion(technical, operational).alias("conclusion")),
     }
 
 
@@ -211,9 +212,13 @@ def feature_subsets(
 
 def hard_errors(
     split: DataFrame, estimators: dict | None = None, huber: dict[str, dict] | None = None,
-    baseline: dict = compare.BALANCED_VERSION,
+    baseline: dict = compare.BALANCED_VERSION, residual=None,
 ) -> dict:
-    """Marks of hard segments, robust models, residual correction, segment comparison, decision."""
+    """Marks of hard segments, robust models, residual correction, segment comparison, decision.
+
+    The residuals of the model with the least MAE are corrected by ``residual``, 200 extra
+    trees of depth 8 unless another estimator is given.
+    """
     train = split.where("split = 'train'")
     cuts = features.fit_cuts(
         train, [*features.LOGISTICS_CUTS, *features.PRECISION_CUTS, *features.ERROR_FOCUSED_CUTS]
@@ -241,10 +246,15 @@ def hard_errors(
     data = prepare(ready, numbers, categories)
     models = learners.train_many(data.train, tried)
     models |= {n: learners.fit_huber(data.train, **o) for n, o in robust.items()}
-    first = next(iter(tried))
-    corrected = f"{first}_residual_correction"
-    models[corrected] = learners.fit_residual_correction(data.train, tried[first], learners.tree(depth=3))
     predicted, metrics = _score(data, models)
+    first = metrics.orderBy(
+        "MAE", "RMSE", F.desc("R2"), F.desc("acc_10_min"), "p90_absolute_error", "model"
+    ).first()["model"]
+    corrected = f"{first}_residual_correction"
+    residual = residual or learners.extra_trees(trees=200, depth=8, min_leaf=3)
+    models[corrected] = learners.correct_residuals(models[first], data.train, residual)
+    more, more_metrics = _score(data, {corrected: models[corrected]})
+    predicted, metrics = predicted.unionByName(more), metrics.unionByName(more_metrics)
     best_row = compare.rank_balanced(metrics, baseline)
     best = best_row.first()["model"]
 
@@ -252,7 +262,7 @@ def hard_errors(
         errors = score.error_direction(predicted.where(F.col("model") == model))
         return written(score.segment_metrics(score.error_segments(errors)))
 
-    base_segments, new_segments = segments(first), segments(best)
+    base_segments, new_segments = segments(next(iter(tried))), segments(best)
     deltas = compare.version_deltas(best_row, baseline)
     return {
         "data": data, "models": models, "metrics": metrics, "best": best, "predictions": predicted,
