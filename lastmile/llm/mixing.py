@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lastmile.llm.shield import restored, shielded
 from lastmile.operators.sizing import written
 
 WEIGHTS = (5, 2, 1)
@@ -202,7 +203,8 @@ def mixed_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     with the white space behind each. ``n_chars`` is set to the new length where there is
     such a column. Documents without words are in no mix and go.
     """
-    keyed = docs.withColumn("_row", F.xxhash64(*[F.col(c) for c in docs.columns]))
+    inner = shielded(docs, ("doc_id", "source", "n_chars", text))
+    keyed = inner.withColumn("_row", F.xxhash64(*inner.columns))
     place, targets = sized_documents(keyed.withColumn("doc_id", F.struct("doc_id", "_row")), text)
     parts = (
         pieces(place).join(slots(draws(targets)), ["source_no", "block"])
@@ -224,10 +226,10 @@ def mixed_documents(docs: DataFrame, text: str = "text") -> DataFrame:
             parts.alias("p"),
             F.col("d.doc_id").eqNullSafe(F.col("p._id")) & (F.col("d._row") == F.col("p._row")) & (F.col("d._copy") == F.col("p._copy")),
         )
-        .select(*[F.col(f"d.{c}").alias(c) for c in docs.columns], "size", "_words", "_parts")
+        .select(*[F.col(f"d.{c}").alias(c) for c in inner.columns], "size", "_words", "_parts")
         .withColumn("_tokens", F.when(F.col("_words") < F.col("size"), tokens))
         .withColumn(text, F.when(F.col("_words") < F.col("size"), cut).otherwise(F.col(text)))
     )
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.char_length(text).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    return restored(rows, inner, docs)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lastmile.llm.graph import components
+from lastmile.llm.shield import restored, shielded
 from lastmile.operators.sizing import small_side, written
 
 BITS = 64
@@ -268,11 +269,11 @@ def keep_one(
 
     Of several rows with that id, one stays. Groups are those of ``near_groups``.
     """
-    columns = [F.col(c) for c in docs.columns]
-    keyed = docs.withColumn("_row", F.xxhash64(*columns))
+    inner = shielded(docs, (id_column, text))
+    keyed = inner.withColumn("_row", F.xxhash64(*inner.columns))
     groups = near_groups(keyed.select(id_column, "_row", text), id_column, text, shingle, max_distance)
     kept = groups.groupBy("component_id").agg(F.min(F.struct(id_column, "_row")).alias("_k")).select(
         F.col("_k." + id_column).alias("_id"), F.col("_k._row").alias("_row")
     )
     rows = keyed.join(kept, (keyed[id_column].eqNullSafe(kept["_id"])) & (keyed["_row"] == kept["_row"]), "left_semi")
-    return rows.dropDuplicates([id_column, "_row"]).drop("_row")
+    return restored(rows.dropDuplicates([id_column, "_row"]), inner, docs)

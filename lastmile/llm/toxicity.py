@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from lastmile.llm.batches import per_slice
 from lastmile.llm.boosting import BoostedTrees, Isotonic
 from lastmile.llm.sample import labelled
+from lastmile.llm.shield import restored, shielded
 from lastmile.operators.sizing import written
 
 MOST_LABELLED = 20_000  # bound of the labelled sample that the model is fitted on
@@ -183,5 +184,5 @@ def without_toxic(
 ) -> DataFrame:
     """The documents whose score stays below the threshold, with their columns."""
     model = fit(docs, labels, most_labelled)
-    kept = docs.withColumn("_toxic", score(model)).where(F.col("_toxic") < threshold)
-    return kept.select(*docs.columns)
+    inner = shielded(docs, ("text",))
+    return restored(inner.withColumn("_toxic", score(model)).where(F.col("_toxic") < threshold), inner, docs)

@@ -109,6 +109,18 @@ def test_run(spark):
     assert sorted(tuple(r) for r in out.select(key).collect()) == sorted(tuple(r) for r in again.select(key).collect())
 
 
+def test_clashing_columns_stay(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    names = ["_row", "_toxic", "size", "spans", "base", "_words", "_parts", "_copy", "_id", "_k", "fingerprint", "_in0", "score", "source_no"]
+    wide = docs.select("*", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, SMALL)
+        assert out.columns == wide.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, wide, SMALL).count() > 0
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").where(F.lit(False))
     for _, stage in corpus_pipeline.STAGES:
