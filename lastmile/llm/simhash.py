@@ -234,6 +234,23 @@ def near_links(points: DataFrame, max_distance: int = 4, block: int = BLOCK) ->
     return verified_links(cells(variants(points, max_distance), crowded), max_distance)
 
 
+def rooted(docs: DataFrame, id_column: str, text: str, shingle: int, max_distance: int, block: int) -> DataFrame:
+    """The columns but the text, ``_fp``, ``_root`` (a fingerprint that stands for the connected
+    group) and ``component_id`` (its smallest non-null id, which unlike groups may share)."""
+    own = [c for c in docs.columns if c not in (text, "fingerprint", "component_id", "_fp", "_root")]
+    marked = written(with_fingerprint(docs.select(*own, text), text, shingle, "_fp").drop(text))
+    points = written(
+        marked.groupBy(F.col("_fp").alias("fp")).agg(F.min(id_column).alias("first_id"))
+    )
+    roots = components(near_links(points.select("fp"), max_distance, block))
+    linked = points.join(roots, points.fp == roots.node, "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("_root")
+    )
+    named = linked.groupBy("_root").agg(F.min("first_id").alias("component_id"))
+    by_point = linked.join(named, "_root").select(F.col("fp").alias("_fp"), "_root", "component_id")
+    return marked.join(by_point, "_fp").select(*own, "_fp", "_root", "component_id")
+
+
 def near_groups(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = 4,
     max_distance: int = 4, block: int = BLOCK,
@@ -243,22 +260,11 @@ def near_groups(
     Null texts count as empty; texts without a word have fingerprint zero and are linked
     like any other. ``component_id`` is the smallest non-null id of the connected group, null
     where the group has none. Repeated rows give one row each. An empty table gives no rows.
-    Columns named fingerprint, component_id or _fp in ``docs`` are replaced.
+    Columns named fingerprint, component_id, _fp or _root in ``docs`` are replaced.
     """
-    own = [c for c in docs.columns if c not in (text, "fingerprint", "component_id", "_fp")]
-    marked = written(with_fingerprint(docs.select(*own, text), text, shingle, "_fp").drop(text))
-    points = written(
-        marked.groupBy(F.col("_fp").alias("fp")).agg(F.min(id_column).alias("first_id"))
-    )
-    roots = components(near_links(points.select("fp"), max_distance, block))
-    linked = points.join(roots, points.fp == roots.node, "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("_root")
-    )
-    named = linked.groupBy("_root").agg(F.min("first_id").alias("component_id"))
-    by_point = linked.join(named, "_root").select(F.col("fp").alias("_fp"), "component_id")
-    return marked.join(by_point, "_fp").select(
-        *own, F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    found = rooted(docs, id_column, text, shingle, max_distance, block)
+    own = [c for c in found.columns if c not in ("_fp", "_root", "component_id")]
+    return found.select(*own, F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(
@@ -267,13 +273,13 @@ def keep_one(
 ) -> DataFrame:
     """The documents without near copies: one of each group stays, that with the smallest id.
 
-    Of several rows with that id, one stays. Groups are those of ``near_groups``.
+    Of several rows with that id, one stays; a row without an id only where its group has no
+    other. Groups are those of linked texts, also where unlike texts share an id or have none.
     """
     inner = shielded(docs, (id_column, text))
     keyed = inner.withColumn("_row", F.xxhash64(*inner.columns))
-    groups = near_groups(keyed.select(id_column, "_row", text), id_column, text, shingle, max_distance)
-    kept = groups.groupBy("component_id").agg(F.min(F.struct(id_column, "_row")).alias("_k")).select(
-        F.col("_k." + id_column).alias("_id"), F.col("_k._row").alias("_row")
-    )
+    groups = rooted(keyed.select(id_column, "_row", text), id_column, text, shingle, max_distance, BLOCK)
+    first = F.min(F.struct(F.col(id_column).isNull().alias("_none"), F.col(id_column).alias("_id"), "_row"))
+    kept = groups.groupBy("_root").agg(first.alias("_k")).select("_k._id", "_k._row")
     rows = keyed.join(kept, (keyed[id_column].eqNullSafe(kept["_id"])) & (keyed["_row"] == kept["_row"]), "left_semi")
     return restored(rows.dropDuplicates([id_column, "_row"]), inner, docs)

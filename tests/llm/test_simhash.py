@@ -96,3 +96,16 @@ def test_edge_rows(spark):
     assert kept.columns == ["doc_id", "text", "fingerprint"]
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "7", "None"]
     assert simhash.near_groups(docs.limit(0)).count() == 0
+
+
+def test_one_row_of_each_group_whatever_the_ids(spark):
+    """Unlike texts without an id or with a shared one are groups of their own."""
+    rows = [
+        (None, "lone words in a row here"), (None, "quite another set of terms there"), (None, "third unlike thing altogether, see"),
+        (5, "apples and pears ripen in late summer"), (7, "apples and pears ripen in late summer"),
+        (5, "engines burn fuel under high pressure"), (9, "engines burn fuel under high pressure"),
+        (None, "the null id comes last of all"), (3, "the null id comes last of all"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((str(r.doc_id), r.text) for r in simhash.keep_one(docs).collect())
+    assert kept == sorted((str(d), t) for d, t in [*rows[:3], rows[3], rows[5], rows[8]])
