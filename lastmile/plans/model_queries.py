@@ -15,9 +15,6 @@ from lastmile.schema import CATEGORICAL, LABEL, NUMERIC, TARGET
 from lastmile.sources import models as model_store
 from lastmile.sources import tables
 
-# Sizes of the registered runs: the library's defaults are the full sizes.
-TREES, DEPTH, ROUNDS = 20, 8, 20
-
 
 def _split(spark, sf) -> DataFrame:
     # Written once: fitting the preprocessing alone takes several passes.
@@ -69,32 +66,27 @@ def reg_tree(spark, sf):
 
 @query
 def reg_forest(spark, sf):
-    return rounded(_scores(spark, sf, random_forest_regressor=learners.forest(trees=TREES, depth=DEPTH)))
+    return rounded(_scores(spark, sf, random_forest_regressor=learners.forest()))
 
 
 @query
 def reg_extra_trees(spark, sf):
-    return rounded(_scores(spark, sf, extra_trees_regressor=learners.extra_trees(trees=TREES, depth=DEPTH)))
+    return rounded(_scores(spark, sf, extra_trees_regressor=learners.extra_trees()))
 
 
 @query
 def reg_gbt(spark, sf):
-    return rounded(_scores(spark, sf, gradient_boosting_regressor=learners.boosted(rounds=ROUNDS)))
+    return rounded(_scores(spark, sf, gradient_boosting_regressor=learners.boosted()))
 
 
 @query
 def reg_gbt_hist(spark, sf):
-    return rounded(_scores(spark, sf, hist_gradient_boosting_regressor=learners.boosted_hist(rounds=ROUNDS)))
+    return rounded(_scores(spark, sf, hist_gradient_boosting_regressor=learners.boosted_hist()))
 
 
 @query
 def reg_gbt_robust(spark, sf):
-    return rounded(
-        _scores(
-            spark, sf,
-            gradient_boosting_huber=lambda train: learners.fit_huber(train, rounds=10, rate=0.2),
-        )
-    )
+    return rounded(_scores(spark, sf, gradient_boosting_huber=learners.fit_huber))
 
 
 def _embedded(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -153,7 +145,7 @@ def reg_residual_trees(spark, sf):
 @query
 def reg_train_many(spark, sf):
     data = _data(spark, sf)
-    fitted = learners.train_many(data.train, {"linear_regression": learners.linear(), "decision_tree_regressor": learners.tree()})
+    fitted = learners.train_many(data.train, learners.base_regressors())
     long = learners.predict_long(fitted, data.test, TARGET, ["split_key"])
     return rounded(learners.predict_wide(long, ["split_key"], list(fitted)), 4)
 
@@ -163,9 +155,7 @@ def _class_fit(spark, sf, names: list[str]) -> tuple[prep.ClassData, dict, DataF
     encoder = ready.encoder()
     vectors = written(encoder.transform(ready.rows))
     train, test = vectors.where("split = 'train'"), vectors.where("split = 'test'")
-    known = learners.classifiers(train.count())
-    known["random_forest"] = learners.RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, maxBins=learners.BINS, seed=learners.SEED)
-    known["gradient_boosting"] = learners.boosted_classifier(5)
+    known = learners.classifiers(train.count()) | {"gradient_boosting": learners.boosted_classifier()}
     fitted = {n: learners.fit_classifier(train, known[n], LABEL) for n in names}
     return ready, fitted, test
 
@@ -197,7 +187,7 @@ def cls_gbt(spark, sf):
 
 @query
 def cls_train_many(spark, sf):
-    return _class_scores(spark, sf, "decision_tree", "logistic_regression")
+    return _class_scores(spark, sf, "decision_tree", "random_forest", "logistic_regression")
 
 
 # --- clustering ------------------------------------------------------------------------
@@ -248,7 +238,7 @@ def cluster_profile(spark, sf):
 # --- search, importance -------------------------------------------------------------------
 
 
-def _folds(spark, sf, folds: int = 3) -> list[tuple[DataFrame, DataFrame]]:
+def _folds(spark, sf, folds: int = 5) -> list[tuple[DataFrame, DataFrame]]:
     train = prep.assign_folds(_split(spark, sf).where("split = 'train'"), folds)
     return search.encoded_folds(train, NUMERIC, CATEGORICAL, folds, [TARGET])
 
@@ -271,23 +261,23 @@ def grid_search(spark, sf):
 
 @query
 def random_search(spark, sf):
-    _, points = search.choose_points(search.grid_for("decision_tree_regressor"), limit=0, draws=3)
+    _, points = search.choose_points(search.grid_for("decision_tree_regressor"), limit=0)
     return _shown(
-        search.search(points, search.fit_named(learners.tree()), _folds(spark, sf, 2), search.hit_rate_10)
+        search.search(points, search.fit_named(learners.tree()), _folds(spark, sf), search.hit_rate_10)
     )
 
 
 @query
 def auto_search(spark, sf):
     method, points = search.choose_points(search.grid_for("ridge_regression", search.SPACES))
-    results = search.search(points[::4], search.fit_named(None), _folds(spark, sf, 2), search.neg_mae)
+    results = search.search(points, search.fit_named(None), _folds(spark, sf), search.neg_mae)
     return _shown(results).withColumn("method", F.lit(method))
 
 
 @query
 def search_results(spark, sf):
-    folds = _folds(spark, sf, 2)
-    results = search.search([{"maxDepth": 3}, {"maxDepth": 5}], search.fit_named(learners.tree()), folds)
+    points = search.grid_points(search.grid_for("decision_tree_regressor"))
+    results = search.search(points, search.fit_named(learners.tree()), _folds(spark, sf))
     path = tables.write_search_json(results, binding.scratch(spark))
     return spark.read.json(path).select(
         F.col("best.rank").alias("best_rank"), F.size("models").alias("candidates")
@@ -297,25 +287,20 @@ def search_results(spark, sf):
 @query
 def search_many(spark, sf):
     ready = prep.prepare_by_time(tidy(spark, sf))
-    train = prep.assign_folds(ready.rows.where("split = 'train'"), prep.effective_folds(ready.rows, LABEL, 2))
-    folds = search.encoded_folds(train, ready.numbers, ready.categories, 2, [LABEL])
-    rows = train.count()
+    rows = ready.rows.where("split = 'train'")
+    count = prep.effective_folds(rows, LABEL, 5)
+    folds = search.encoded_folds(prep.assign_folds(rows, count), ready.numbers, ready.categories, count, [LABEL])
+    size = rows.count()
     found = {
-        "logistic_regression": search.search(
-            [{"C": 1.0, "balanced": b, "maxIter": 1000} for b in (False, True)],
-            search.fit_class_named("logistic_regression", rows), folds, search.f1,
-        ),
-        "random_forest": search.search(
-            [{"numTrees": 10, "maxDepth": 5, "impurity": "gini"}], search.fit_class_named("random_forest", rows), folds, search.f1
-        ),
+        name: search.search(search.grid_points(space), search.fit_class_named(name, size), folds, search.f1)
+        for name, space in search.CLASS_SPACES.items()
     }
     return rounded(search.search_many(found).select("model", "best_score", F.to_json("params").alias("params")), 4)
 
 
 @query
 def cross_validate(spark, sf):
-    tried = {"linear_regression": learners.linear(), "decision_tree_regressor": learners.tree()}
-    return rounded(search.cross_validate(tried, _folds(spark, sf)), 4)
+    return rounded(search.cross_validate(learners.base_regressors(), _folds(spark, sf)), 4)
 
 
 @query
