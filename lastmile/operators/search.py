@@ -100,18 +100,21 @@ def with_params(estimator, params: dict):
 # --- folds ------------------------------------------------------------------------------
 
 
+def encoded_fold(
+    df: DataFrame, i: int, numbers: list[str], categories: list[str], keep: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """(train, validation) vectors of one fold, written once."""
+    encoder = fit_encoder(df.where(F.col("fold") != i), numbers, categories)
+    vectors = written(encoder.transform(df).select("features", "fold", *keep))
+    return vectors.where(F.col("fold") != i), vectors.where(F.col("fold") == i)
+
+
 def encoded_folds(
     df: DataFrame, numbers: list[str], categories: list[str], folds: int, keep: list[str]
 ) -> list[tuple[DataFrame, DataFrame]]:
     """(train, validation) vectors per fold; preprocessing is fitted once per fold and the
     vectors are written once, so that every candidate reads the same ones."""
-    made = []
-    for i in range(folds):
-        train = df.where(F.col("fold") != i)
-        encoder = fit_encoder(train, numbers, categories)
-        vectors = written(encoder.transform(df).select("features", "fold", *keep))
-        made.append((vectors.where(F.col("fold") != i), vectors.where(F.col("fold") == i)))
-    return made
+    return [encoded_fold(df, i, numbers, categories, keep) for i in range(folds)]
 
 
 def cross_validate(

@@ -133,12 +133,14 @@ def operational(split: DataFrame, estimators: dict | None = None, grid: dict | N
 
 
 def precision(
-    split: DataFrame, estimators: dict | None = None, folds: int = 5, repeats: int = 10,
+    split: DataFrame, estimators: dict | None = None, folds: int = 5, repeats: int = 10, draws: int = 30,
     technical: dict = compare.OPTIMIZED_VERSION, stored: dict = compare.OPTIMIZED_VERSION,
     operational: dict = compare.OPERATIONAL_VERSION,
 ) -> dict:
-    """Adds precision features, group means and log targets; cross validation, importance,
-    segments and feature subsets of the chosen model."""
+    """Adds precision features, group means and log targets; search of the best plain model's
+    parameters by RMSE, cross validation, importance, segments and feature subsets of the
+    chosen model. In the search the group means are learnt on each fold's training rows.
+    """
     train = split.where("split = 'train'")
     cuts = features.fit_cuts(train, [*features.LOGISTICS_CUTS, *features.PRECISION_CUTS])
     ready = features.add_precision_features(features.add_logistics_features(split, cuts), cuts)
@@ -160,13 +162,28 @@ def precision(
     models = learners.train_many(data.train, tried)
     models |= {f"{n}_log_target": learners.fit_log_target(positive, e) for n, e in tried.items()}
     predicted, metrics = _score(data, models)
-    best = compare.rank_precision(metrics).first()["model"]
-    plain = tried[best.removesuffix("_log_target")]
     folded = prep.assign_folds(ready.where("split = 'train'"), folds)
+    first = compare.rank_precision(metrics.where(F.col("model").isin(*tried))).first()["model"]
+    tuned, results, plain = f"{first}_rmse_tuned", None, dict(tried)
+    if first in search.GRIDS:
+        _, points = search.choose_points(search.grid_for(first), draws=draws)
+        made = [
+            search.encoded_fold(
+                prep.GroupMeans().fit(folded.where(F.col("fold") != i)).transform(folded.drop(*features.HISTORY_NUMERIC)),
+                i, numbers, categories, [TARGET],
+            )
+            for i in range(folds)
+        ]
+        results = written(search.search(points, search.fit_named(tried[first]), made, search.neg_rmse))
+        plain[tuned] = search.with_params(tried[first], points[search.best_row(results)["candidate"]])
+        models[tuned] = plain[tuned].fit(data.train)
+        more, more_metrics = _score(data, {tuned: models[tuned]})
+        predicted, metrics = predicted.unionByName(more), metrics.unionByName(more_metrics)
+    best = compare.rank_precision(metrics).first()["model"]
     # Means of the target over all training rows would leak into the folds.
     leak_free = [c for c in numbers if c not in features.HISTORY_NUMERIC]
     validated = search.cross_validate(
-        tried, search.encoded_folds(folded, leak_free, categories, folds, [TARGET])
+        plain, search.encoded_folds(folded, leak_free, categories, folds, [TARGET])
     )
     whole = learners.full_model(data.encoder, models[best])
     importance = written(
@@ -182,9 +199,9 @@ def precision(
     )
     return {
         "data": data, "models": models, "metrics": metrics, "best": best, "best_model": whole,
-        "predictions": predicted, "cross_validation": validated, "importance": importance,
+        "search": results, "predictions": predicted, "cross_validation": validated, "importance": importance,
         "segments": score.segment_metrics(errors),
-        "subsets": feature_subsets(ready, plain, importance, numbers, categories),
+        "subsets": feature_subsets(ready, plain[best.removesuffix("_log_target")], importance, numbers, categories),
         "versions": compare.decision_notes(versions, technical, operational),
         "conclusion": row.select("model", compare.precision_conclusion(technical, operational).alias("conclusion")),
     }

@@ -226,7 +226,7 @@ def cluster_indexes(spark, sf):
 def cluster_quality(spark, sf):
     df = tidy(spark, sf)
     vectors = written(prep.fit_encoder(df, NUMERIC, CATEGORICAL, impute=False).transform(df))
-    return rounded(cluster.cluster_quality(vectors, 2, 4, restarts=1), 4)
+    return rounded(cluster.cluster_quality(vectors), 4)
 
 
 @query
@@ -403,24 +403,18 @@ def final_report(spark, sf):
 
 @query
 def flow_eval(spark, sf):
-    tried = {"linear_regression": learners.linear(), "decision_tree_regressor": learners.tree()}
-    return rounded(flows.evaluate(_split(spark, sf), tried)["metrics"], 4)
+    return rounded(flows.evaluate(_split(spark, sf))["metrics"], 4)
 
 
 @query
 def flow_tune(spark, sf):
-    found = flows.tune(
-        _split(spark, sf), "decision_tree_regressor", learners.tree(), {"maxDepth": [3, 8]}, folds=2
-    )
+    found = flows.tune(_split(spark, sf), "decision_tree_regressor", learners.tree())
     return rounded(found["comparison"], 4)
 
 
 @query
 def flow_improve(spark, sf):
-    split = _split(spark, sf).where(F.col(TARGET) > 0)
-    tried = {"linear_regression": learners.linear(), "decision_tree_regressor": learners.tree()}
-    grid = {"maxDepth": [5, 8]}
-    found = flows.improve(split, {"decision_tree_regressor": tried["decision_tree_regressor"]}, grid, folds=2)
+    found = flows.improve(_split(spark, sf).where(F.col(TARGET) > 0))
     return rounded(
         compare.union_tables(found["tuned"]["comparison"], found["mean_baseline"].withColumn("version", F.lit("mean"))), 4
     )
@@ -428,26 +422,19 @@ def flow_improve(spark, sf):
 
 @query
 def flow_operational(spark, sf):
-    found = flows.operational(
-        _split(spark, sf), {"decision_tree_regressor": learners.tree()}, {"maxDepth": [5, 8]}, folds=2
-    )
-    return rounded(found["versions"], 4)
+    return rounded(flows.operational(_split(spark, sf))["versions"], 4)
 
 
 @query
 def flow_precision(spark, sf):
-    found = flows.precision(_split(spark, sf), {"decision_tree_regressor": learners.tree()}, folds=2, repeats=1)
-    return rounded(found["metrics"], 4)
+    return rounded(flows.precision(_split(spark, sf))["metrics"], 4)
 
 
 @query
 def flow_hard_errors(spark, sf):
-    found = flows.hard_errors(
-        _split(spark, sf), {"decision_tree": learners.tree()}, {"gradient_boosting_huber": {"rounds": 3, "rate": 0.3}}
-    )
-    return rounded(found["segment_comparison"], 4)
+    return rounded(flows.hard_errors(_split(spark, sf))["segment_comparison"], 4)
 
 
 @query
 def flow_clustering(spark, sf):
-    return flows.clustering(tidy(spark, sf), 3, 3, 3, restarts=1)["profile"]
+    return flows.clustering(tidy(spark, sf))["profile"]

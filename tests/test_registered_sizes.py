@@ -1,6 +1,7 @@
 """Registered model queries run at the library's full sizes."""
 
 import pytest
+from conftest import SMALL
 
 from lastmile.operators import learners, search
 from lastmile.plans import flows, model_queries
@@ -48,3 +49,32 @@ def test_whole_grids(spark, monkeypatch, name, space, points):
         getattr(model_queries, name)(spark, None)
     key = lambda p: sorted(p.items())
     assert sorted(seen[0][0], key=key) == sorted(search.grid_points(space[points]), key=key) and seen[0][1] == 5
+
+
+@pytest.mark.parametrize("name", ["evaluate", "tune", "improve", "operational", "precision", "hard_errors", "clustering"])
+def test_flows_get_no_smaller_sizes(spark, monkeypatch, name):
+    seen = []
+
+    def stop(*given, **options):
+        seen.append((given, options))
+        raise Stop
+
+    monkeypatch.setattr(flows, name, stop)
+    frame = spark.range(1).selectExpr("id AS split_key", "1.0D AS target_tiempo_entrega")
+    monkeypatch.setattr(model_queries, "_split", lambda spark, sf: frame)
+    monkeypatch.setattr(model_queries, "tidy", lambda spark, sf: frame)
+    with pytest.raises(Stop):
+        getattr(model_queries, {"evaluate": "flow_eval"}.get(name, f"flow_{name}"))(spark, None)
+    given, options = seen[0]
+    assert len(given) == (3 if name == "tune" else 1) and not options
+
+
+def test_precision_searches_the_best_plain_model(spark, monkeypatch):
+    monkeypatch.setitem(search.GRIDS, "decision_tree_regressor", {"maxDepth": [2, 6]})
+    split = model_queries._split(spark, SMALL)
+    found = flows.precision(split, {"decision_tree_regressor": learners.tree(depth=3)}, folds=2, repeats=1)
+    tuned = "decision_tree_regressor_rmse_tuned"
+    scores = {r.model: r.RMSE for r in found["metrics"].collect()}
+    assert set(scores) == {"decision_tree_regressor", "decision_tree_regressor_log_target", tuned}
+    assert found["search"].count() == 2 and scores[tuned] < scores["decision_tree_regressor"]
+    assert tuned in {r.model for r in found["cross_validation"].collect()}
