@@ -6,14 +6,21 @@ import re
 from dataclasses import dataclass
 from html import unescape
 
-# Elements whose content is no text, elements that end a block, and void ones.
-SKIPPED = frozenset("script style noscript template svg iframe head object canvas select button textarea title audio video".split())
+# Elements whose content is no markup, other elements whose content is left out, elements
+# that end a block, and void ones.
+RAW = frozenset("script style textarea title iframe".split())
+SKIPPED = frozenset("noscript template svg head object canvas select button audio video".split())
+IN_HEAD = frozenset("base link meta noscript template".split()) | RAW  # any other element ends an open head
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure"
     " footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody"
     " td tfoot th thead tr ul".split()
 )
+FLOW = frozenset("article aside blockquote dl footer form header main nav ol p section table ul".split())
+# Elements without an end tag are ended by these start tags, which cannot be inside them.
+NOT_INSIDE = {"button": FLOW | {"button"}, "select": BLOCK - {"hr"} | {"select"}, "svg": BLOCK}
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+INSIDE = (BLOCK | SKIPPED | {"foreignobject"}) - VOID  # counted inside an element that is left out
 CLOSED_BY = {  # an open element that a start tag of the named kinds ends
     "p": BLOCK, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
     "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
@@ -117,6 +124,7 @@ def blocks(html: str | None) -> list[Block]:
     pieces: list[str] = []
     linked = 0
     link_open = False
+    skipping: list[str] = []  # an element that is left out and those open in it
 
     def flush() -> None:
         nonlocal linked
@@ -148,6 +156,10 @@ def blocks(html: str | None) -> list[Block]:
 
     def add(text: str) -> None:
         nonlocal linked
+        if skipping == ["head"] and text.strip():
+            skipping.clear()
+        if skipping:
+            return
         pieces.append(text)
         if link_open:
             linked += len(text.strip())
@@ -164,12 +176,31 @@ def blocks(html: str | None) -> list[Block]:
         if token[2] is None:
             continue
         closing, tag = token[1], token[2].lower()
-        if tag in SKIPPED:
+        if tag in RAW:
             if not closing and not token[3].endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(html, at)
                 at = end.end() if end else len(html)
             pieces.append(" ")
             continue
+        if skipping:
+            if closing and tag in skipping:
+                while skipping.pop() != tag:
+                    pass
+                continue
+            if (
+                depth.get(tag) if closing  # left open where its parent ends
+                else tag == "body" or tag in NOT_INSIDE.get(skipping[-1], ()) or skipping[-1] == "head" and tag not in IN_HEAD
+            ):
+                skipping.clear()
+            else:
+                if not closing and tag in INSIDE and not token[3].endswith("/"):
+                    skipping.append(tag)
+                continue
+        if tag in SKIPPED:
+            if not closing and not token[3].endswith("/") and not (tag == "head" and depth.get("body")):
+                skipping.append(tag)
+            pieces.append(" ")
+            continue
         if tag == "a":
             link_open = not closing
         elif tag == "br":

@@ -99,3 +99,25 @@ def test_odd_rows(spark, field):
     assert rows[0].text == rows[1].text == rows[3].text == rows[6].text == rows[7].text == ""
     assert rows[8].text.count("\n\n") == 19_999
     assert html_text.extracted(pages.limit(0), field=field).count() == 0
+
+
+STORY = "<article><p>The river rose quickly on Monday.</p><p>Nobody was hurt, officials said.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<html><head><title>t</title><meta charset=utf-8><body>{STORY}", f"<head><title>t</title><style>p {{}}</style>{STORY}",
+        f"<body><div class=share><button>Share</div>{STORY}", f"<body><button>Share{STORY}<button>Top</button>",
+        f"<body><div><svg viewBox='0 0 1 1'><path d=''></div>{STORY}", f"<body><svg><path d=''>{STORY}",
+        f"<body><form><select><option>One</form>{STORY}", f"<body><div><noscript><p>Enable scripts</div>{STORY}",
+        f"<body><div><object><video><canvas>no</div>{STORY}", f"<body><noscript><div><p>Enable scripts</noscript>{STORY}",
+        f"<head><title>t</title></head><body><button><div>Share</div></button>{STORY}<svg><title>x</title><text>y</text></svg>",
+    ],
+)
+def test_elements_without_an_end_tag(html):
+    assert [b.text for b in blocks(html)] == ["The river rose quickly on Monday.", "Nobody was hurt, officials said."]
+
+
+def test_left_out_elements_do_not_cut_a_block():
+    assert [b.text for b in blocks("<p>One <noscript><div><p>no</div></noscript>two</p>")] == ["One two"]
