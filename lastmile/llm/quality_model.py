@@ -1,8 +1,8 @@
 """Quality scores: random-indexing word vectors pooled per document, a small network, calibrated.
 
 Every word has a fixed sparse random index vector. A word's vector is the sum of the index
-vectors of its neighbours, gathered over a bounded labelled sample into a hashed vocabulary
-of fixed size. A document is the mean of its words' vectors beside that of their own index
+vectors of its neighbours, gathered over all documents into a hashed vocabulary of fixed
+size. A document is the mean of its words' vectors beside that of their own index
 vectors; signs of layout (capitals, symbols, repetition, length) enter as words of their
 own. A two-layer network in numpy scores it and a temperature calibrates its probabilities.
 """
@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 
 from lastmile.llm.batches import SLICE, per_slice
 from lastmile.llm.sample import labelled
-from lastmile.operators.sizing import written
+from lastmile.operators.sizing import release, written
 
-MOST_LABELLED = 8_000  # bound of the labelled sample that vectors and network are fitted on
+MOST_LABELLED = 8_000  # bound of the labelled sample that network and temperature are fitted on
 THRESHOLD = 0.7
 VOCABULARY = 1 << 14  # hashed words
 SIZE = 64  # numbers in a word vector
@@ -45,6 +45,10 @@ def index_vectors() -> np.ndarray:
 
 
 INDEX = index_vectors()
+SET_AT = np.argsort(-np.abs(INDEX), axis=1, kind="stable")[:, :NONZERO]  # places of the numbers that are set
+SET_TO = np.take_along_axis(INDEX, SET_AT, axis=1).astype(float)
+PAIRS_AT_ONCE = 100_000
+GAP = np.full(REACH, -1, np.int64)  # between texts, whose words are no neighbours
 
 
 def word_id(word: str) -> int:
@@ -100,11 +104,16 @@ def ids_of(words: list[str], known: dict[str, int]) -> np.ndarray:
 
 
 def context_sums(ids: np.ndarray, into: np.ndarray) -> None:
-    """Add to each word's row the index vectors of its neighbours within reach."""
-    for step in range(1, REACH + 1):
-        if len(ids) > step:
-            np.add.at(into, ids[:-step], INDEX[ids[step:]])
-            np.add.at(into, ids[step:], INDEX[ids[:-step]])
+    """Add to each word's row the index vectors of its neighbours within reach; negative ids are gaps."""
+    for at in range(0, len(ids), PAIRS_AT_ONCE):
+        for step in range(1, REACH + 1):
+            right = ids[at + step : at + PAIRS_AT_ONCE + step]
+            left = ids[at : at + len(right)]
+            real = (left >= 0) & (right >= 0)
+            word = np.concatenate([left[real], right[real]])
+            near = np.concatenate([right[real], left[real]])
+            found = np.bincount((word[:, None] * SIZE + SET_AT[near]).ravel(), SET_TO[near].ravel(), VOCABULARY * SIZE)
+            into += found.reshape(into.shape).astype(into.dtype)
 
 
 def signs(word: str) -> list[str]:
@@ -200,38 +209,57 @@ class QualityModel:
         return scores
 
 
-def word_vectors(sample: DataFrame) -> np.ndarray:
-    """Unit context vectors of the hashed vocabulary from the sample's texts.
+def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """Unit context vectors of the hashed vocabulary from the texts of all documents.
 
-    Each task sums its texts into one matrix; tasks are few, and the driver adds their
-    matrices of a fixed 4 MB. Words without a neighbour in the sample keep their index vector.
+    Each task sums its texts into one matrix of whole numbers of a fixed 8 MB, so that sums are
+    exact in any order; tasks are few for each core, their matrices are added in groups, and
+    the driver adds those of the groups one by one. Words without a neighbour keep their index
+    vector.
     """
 
+    def given(sums: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], ["sums"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, known = np.zeros((VOCABULARY, SIZE), np.float32), {}
+        sums, known = np.zeros((VOCABULARY, SIZE), np.int64), {}
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
+                pieces = []
                 for text in batch.column(0).slice(at, SLICE).to_pylist():
-                    context_sums(ids_of((text or "").lower().split(), known), sums)
-        yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], ["sums"])
+                    pieces += [ids_of((text or "").lower().split(), known), GAP]
+                context_sums(np.concatenate(pieces), sums)
+        yield given(sums)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((VOCABULARY, SIZE), np.int64)
+        for batch in batches:
+            for value in batch.column(0):
+                sums += np.frombuffer(value.as_buffer(), np.int64).reshape(sums.shape)
+        yield given(sums)
 
-    total = INDEX.copy()
-    for row in sample.select("text").repartition(6).mapInArrow(run, "sums binary").toLocalIterator():
-        total += np.frombuffer(row.sums, np.float32).reshape(VOCABULARY, SIZE)
-    return total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-6)
+    tasks = max(16, 2 * docs.sparkSession.sparkContext.defaultParallelism)
+    parts = written(docs.select(text).coalesce(tasks).mapInArrow(run, "sums binary"))
+    total = np.zeros((VOCABULARY, SIZE), np.int64)
+    for row in parts.repartition(8).mapInArrow(add, "sums binary").toLocalIterator():
+        total += np.frombuffer(row.sums, np.int64).reshape(total.shape)
+    release(parts)
+    vectors = INDEX + total
+    return (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-6)).astype(np.float32)
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, most_labelled: int = MOST_LABELLED, id_column: str = "doc_id",
     text: str = "text",
 ) -> QualityModel:
-    """Fit on at most ``most_labelled`` labelled documents; only pooled vectors reach the driver.
+    """Word vectors from all documents, the network from at most ``most_labelled`` labelled ones,
+    whose pooled vectors alone reach the driver.
 
     Four fifths fit the network, the last fifth its temperature. Without labels of both
     classes every text gets the share of good labels (one half without labels).
     """
     sample = written(labelled(docs, labels, "quality", most_labelled, id_column, text))
-    vectors = word_vectors(sample)
+    vectors = word_vectors(docs, text)
 
     def prepare():
         known: dict[str, int] = {}

@@ -43,3 +43,28 @@ def test_odd_rows_and_tables(spark):
     assert wrong <= 4
     assert quality_model.scored(docs.limit(0), labels).count() == 0
     assert quality_model.scored(docs, labels.limit(0)).where("score BETWEEN 0 AND 1").count() == 205
+
+
+def test_word_vectors_cover_all_documents(spark):
+    """Words of documents without a label have their context too; texts are no neighbours of each other."""
+    docs = spark.createDataFrame([(1, "calm plain words"), (2, "unlabelled rare terms"), (3, None)], "doc_id long, text string")
+    model = quality_model.fit(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
+    index, at = quality_model.INDEX, quality_model.word_id
+    for word, near in (("rare", ("unlabelled", "terms")), ("words", ("calm", "plain"))):
+        want = index[at(word)] + sum(index[at(w)] for w in near)
+        assert np.allclose(model.vectors[at(word)], want / np.linalg.norm(want), atol=1e-6)
+
+
+def test_context_sums_in_pieces(monkeypatch):
+    ids = np.random.default_rng(3).integers(-1, 40, 500)
+    whole, pieces = (np.zeros((quality_model.VOCABULARY, quality_model.SIZE), np.int64) for _ in range(2))
+    quality_model.context_sums(ids, whole)
+    monkeypatch.setattr(quality_model, "PAIRS_AT_ONCE", 7)
+    quality_model.context_sums(ids, pieces)
+    want = np.zeros_like(whole, float)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 : i + 3]:
+            if a >= 0 and b >= 0:
+                want[a] += quality_model.INDEX[b]
+                want[b] += quality_model.INDEX[a]
+    assert np.array_equal(whole, want.reshape(whole.shape)) and np.array_equal(pieces, whole)
