@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +11,13 @@ from pyspark.sql import types as T
 
 from lastmile.functions import text_key
 from lastmile.operators import clean, compare, features, labels, prep, profile, score
+from lastmile.operators.sizing import written
 from lastmile.plans import binding
 from lastmile.schema import CATEGORICAL, FEATURES, LABEL, NUMERIC, NUMERIC_AND_TARGET, TARGET, TEXT
 from lastmile.sources import tables
 
+DELIVERIES_PER_FILE = 1_000_000
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -76,12 +80,20 @@ def scan_csv(spark, sf):
 
 @query
 def scan_discover(spark, sf):
+    """All delivery rows in files of their own folders, each discovered and read."""
     folder = binding.scratch(spark)
-    raw(spark, sf).drop("split_key").groupBy("clima").agg(F.count("*").alias("n")).coalesce(
-        1
-    ).write.option("header", True).csv(folder)
-    path = tables.discover_csv(spark, folder, "part-preferred.csv")
-    return spark.read.schema("clima string, n bigint").option("header", True).csv(path)
+    rows = written(raw(spark, sf))
+    files = max(2, -(-rows.count() // DELIVERIES_PER_FILE))
+    dealt = rows.withColumn("_file", F.pmod(F.xxhash64("split_key"), F.lit(files))).drop("split_key")
+    tables.write_table(dealt.repartition(files, "_file"), folder, "csv", ["_file"])
+    used = sorted(r[0] for r in dealt.select("_file").distinct().collect())
+    found = [
+        tables.scan_csv(spark, tables.discover_csv(spark, f"{folder}/_file={i}", "part-preferred.csv"))
+        for i in used
+    ]
+    if not found:  # no deliveries, no files
+        found = [dealt.drop("_file")]
+    return reduce(DataFrame.unionByName, found).groupBy("clima").agg(F.count("*").alias("n"))
 
 
 @query
@@ -373,6 +385,20 @@ def eda_bundle(spark, sf):
     return compare.union_tables(*counted)
 
 
+@query
+def eda_bundle_cells(spark, sf):
+    """All cells of the ten exploratory tables in long form, by each row's first column."""
+    reports = profile.eda_reports(patchy(spark, sf).drop("split_key"))
+    cells = []
+    for name, df in reports.items():
+        each = F.array(*[F.struct(F.lit(c).alias("columna"), F.col(c).cast("string").alias("valor")) for c in df.columns])
+        cells.append(
+            df.select(F.lit(name).alias("tabla"), F.col(df.columns[0]).cast("string").alias("fila"), F.explode(each).alias("_c"))
+            .select("tabla", "fila", "_c.*")
+        )
+    return compare.union_tables(*cells)
+
+
 # --- features --------------------------------------------------------------------
 
 
