@@ -5,8 +5,22 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from lastmile.llm import ann, chat, html_text, mixing, packing, pii, quality_model, quality_rules, simhash, toxicity
+from pyspark.sql import functions as F
+
+from lastmile.llm import (
+    ann,
+    chat,
+    filter_audit,
+    html_text,
+    line_dedup,
+    mixing,
+    packing,
+    pii,
+    quality_model,
+    quality_rules,
+    simhash,
+    toxicity,
+)
 from lastmile.llm.sample import held_out
 from lastmile.plans.binding import table
 
@@ -66,6 +80,17 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detected(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = line_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return docs.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audited(filter_audit.failed_filters(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_nearest": op2_nearest,
@@ -77,5 +102,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_pii": op10_pii,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_filter_audit": op12_filter_audit,
     "pipeline": corpus_pipeline.run,
 }

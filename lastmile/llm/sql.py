@@ -38,4 +38,76 @@ SELECT conv_id, count(*) AS n_turns,
 FROM judged GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op3_chat_formatting": CHAT}
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+
+LINES = f"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), lines AS (
+  SELECT r, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS n FROM split
+), keyed AS (
+  SELECT r, doc_id, line, n, translate(trim(line, {_WHITE}), {_UPPER}, {_LOWER}) AS key FROM lines
+), shared AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+  SELECT k.r, k.doc_id, k.line, k.n, s.key IS NOT NULL AND k.doc_id <> s.keeper AS gone
+  FROM keyed k LEFT JOIN shared s ON k.key = s.key
+)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY n), '')) AS kept_sha256
+FROM judged GROUP BY r, doc_id
+"""
+
+_FILTERS = "(VALUES ('A'), ('B'), ('C'), ('D'), ('E'))"
+
+FILTER_AUDIT = f"""
+WITH facts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+  FROM documents
+), failed AS (
+  SELECT f.part,
+    CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN f.doc_id > first_id THEN 'E' ELSE '' END AS fails,
+    coalesce(l.quality = 1, false) AS good, coalesce(l.toxic = 1, false) AS toxic
+  FROM facts f LEFT JOIN labels l ON f.doc_id = l.doc_id
+), masks AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE toxic) AS n_toxic
+  FROM failed GROUP BY part, fails
+), orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM {_FILTERS} a(f), {_FILTERS} b(f), {_FILTERS} c(f), {_FILTERS} d(f), {_FILTERS} e(f)
+  WHERE b.f <> a.f AND c.f NOT IN (a.f, b.f) AND d.f NOT IN (a.f, b.f, c.f) AND e.f NOT IN (a.f, b.f, c.f, d.f)
+), steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, CAST(step AS INTEGER), 1) AS f,
+    substr(filter_order, 1, CAST(step AS INTEGER) - 1) AS earlier
+  FROM orders, range(1, 6) s(step)
+), judged AS (
+  SELECT m.part, s.filter_order, s.step, s.f, m.fails, m.n, m.n_good, m.n_toxic,
+    contains(m.fails, s.f) AS here,
+    s.earlier <> '' AND m.fails <> '' AND regexp_matches(m.fails, '[' || s.earlier || '_]') AS before
+  FROM masks m, steps s
+), counts AS (
+  SELECT part, filter_order, step, f,
+    CAST(sum(CASE WHEN NOT here AND NOT before THEN n ELSE 0 END) AS BIGINT) AS kept,
+    CAST(sum(CASE WHEN here AND NOT before THEN n ELSE 0 END) AS BIGINT) AS removed,
+    CAST(sum(CASE WHEN here AND before THEN n ELSE 0 END) AS BIGINT) AS redundant,
+    CAST(sum(CASE WHEN fails = f THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+    CAST(sum(CASE WHEN here AND NOT before THEN n_good ELSE 0 END) AS BIGINT) AS good_lost,
+    CAST(sum(CASE WHEN here AND NOT before THEN n_toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM judged GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counts
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_chat_formatting": CHAT, "op11_line_dedup": LINES, "op12_filter_audit": FILTER_AUDIT,
+}
