@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lastmile.llm import (
     ann,
     chat,
+    collocations,
     filter_audit,
     html_text,
     line_dedup,
@@ -91,6 +92,11 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audited(filter_audit.failed_filters(docs, table(spark, sf_dir, "labels")))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+    return collocations.ranked(found).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_nearest": op2_nearest,
@@ -104,5 +110,6 @@ QUERIES = {
     "op10_pii": op10_pii,
     "op11_line_dedup": op11_line_dedup,
     "op12_filter_audit": op12_filter_audit,
+    "op13_collocations": op13_collocations,
     "pipeline": corpus_pipeline.run,
 }

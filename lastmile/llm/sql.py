@@ -108,6 +108,50 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 FROM counts
 """
 
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), totals AS (
+  SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM worded GROUP BY lang
+), starts AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM worded
+), counts AS (
+  SELECT lang, k, array_to_string(words[i : i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM starts, range(1, 5) t(k) WHERE i + k - 1 <= len(words)
+  GROUP BY lang, k, array_to_string(words[i : i + k - 1], ' ') HAVING count(*) >= 30
+), candidates AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM counts WHERE k >= 2
+), covered AS (
+  SELECT DISTINCT longer.lang, inner_one.phrase
+  FROM (
+    SELECT lang, k, a, words, m, i FROM candidates, range(2, 4) t(m), range(1, 4) s(i) WHERE m < k AND i + m - 1 <= k
+  ) longer
+  JOIN candidates inner_one ON inner_one.lang = longer.lang
+    AND inner_one.phrase = array_to_string(longer.words[longer.i : longer.i + longer.m - 1], ' ')
+  WHERE 100 * CAST(longer.a AS HUGEINT) >= 80 * CAST(inner_one.a AS HUGEINT)
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, c.j,
+    CAST((2000000 * CAST(c.a AS HUGEINT)) // (CAST(x.f AS HUGEINT) + y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates) c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1 : c.j], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[c.j + 1 : c.k], ' ')
+), lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS place FROM cuts
+), listed AS (
+  SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank,
+    w.phrase, a, l, r, n, score
+  FROM lowest w JOIN totals t ON t.lang = w.lang
+  LEFT JOIN covered v ON v.lang = w.lang AND v.phrase = w.phrase
+  WHERE place = 1 AND v.phrase IS NULL
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM listed WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op3_chat_formatting": CHAT, "op11_line_dedup": LINES, "op12_filter_audit": FILTER_AUDIT,
+    "op13_collocations": COLLOCATIONS,
 }
