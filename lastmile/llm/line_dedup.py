@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lastmile.llm.shield import shielded
-from lastmile.operators.sizing import written
+from lastmile.operators.sizing import small_side, written
 
 WHITE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -65,12 +65,13 @@ def deduplicated(
     all dropped is empty. Result columns replace a caller's of the same names.
 
     Hot lines: distinct (line, document) pairs are spread by both, and only then counted per
-    line, summed in each task before the shuffle. Joins on lines are split by adaptive execution.
+    line, summed in each task before the shuffle. The shared lines are broadcast where their
+    counted number allows; beyond it adaptive execution splits the hot ones of a plain join.
     """
     inner = shielded(docs.drop(n_lines, n_dropped), (id_column, text))
     lines = written(long_lines(inner, id_column, text, min_chars))
     per_document = lines.groupBy("_h1", "_h2", "_id").agg(F.lit(1).alias("_one"))
-    shared = (
+    shared = small_side(
         per_document.groupBy("_h1", "_h2").agg(F.count("*").alias("_documents"), F.max("_id").alias("_keeper"))
         .where(F.col("_documents") >= min_documents).drop("_documents")
     )
