@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lastmile.llm.batches import per_slice
 from lastmile.llm.shield import shielded
-from lastmile.operators.sizing import written
+from lastmile.operators.sizing import small_side, written
 
 FILTERS = "ABCDE"
 SYMBOLS = b"#$%&*|"
@@ -171,7 +171,8 @@ def failed_filters(
     read, whatever their names.
 
     Texts are read once and leave as masks and digests; the smallest id is taken per digest, in
-    each task before the shuffle, and only digests with several ids are joined back.
+    each task before the shuffle, and only digests with several ids are joined back, by a broadcast
+    where their counted number allows.
     """
     facts = per_slice(text, "a boolean, b boolean, c boolean, d boolean, digest binary", lambda: lambda texts: [text_facts(t) for t in texts])
     read = written(
@@ -181,7 +182,7 @@ def failed_filters(
             F.col("_f.digest").alias("_digest"),
         )
     )
-    first = (
+    first = small_side(
         read.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
         .where(F.col("_first") < F.col("_last")).drop("_last")
     )
