@@ -38,7 +38,7 @@ NO_LANG = "und"
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BITS = 26  # of the bitmap of frequent hashes, 8 MB
 BUCKET_BITS = 15  # of a bitmap row, as Spark's bitmap functions cut them
-CHUNK_BYTES = 4_000_000  # of text counted at a time
+CHUNK_BYTES = 1_500_000  # of text counted at a time
 
 LOWER = bytes(10 if c in PIECE_ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 COUNTS = "h long, lang string, phrase string, n long"
