@@ -2,33 +2,22 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassifier,
-    LogisticRegression,
-    OneVsRest,
-    RandomForestClassifier,
-)
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    LinearRegression,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lastmile.operators.sizing import written
+from lastmile.operators import ensembles
+from lastmile.operators.ensembles import Trees
 from lastmile.schema import TARGET
 
 SEED = 42
-# Stands for "no depth limit": Spark grows trees level by level, so a limit is needed.
-DEEP = 12
-BINS = 64
+PARALLEL = 4
+BINS = 64  # of Spark's own trees
 
 
 def ridge(train: DataFrame, alpha: float = 1.0, label: str = TARGET, intercept: bool = True) -> LinearRegression:
@@ -44,132 +33,81 @@ def linear(label: str = TARGET, intercept: bool = True) -> LinearRegression:
     return LinearRegression(labelCol=label, regParam=0.0, fitIntercept=intercept)
 
 
-def tree(label: str = TARGET, depth: int = 5, min_leaf: int = 1) -> DecisionTreeRegressor:
-    return DecisionTreeRegressor(
-        labelCol=label, maxDepth=depth, minInstancesPerNode=min_leaf, maxBins=BINS, seed=SEED
-    )
+def tree(label: str = TARGET, depth: int = 5, min_leaf: int = 1) -> Trees:
+    """One tree on all rows."""
+    return Trees(labelCol=label, numTrees=1, bootstrap=False, maxDepth=depth, minInstancesPerNode=min_leaf)
 
 
-def forest(
-    label: str = TARGET, trees: int = 100, depth: int = DEEP, min_leaf: int = 1, features: str = "all"
-) -> RandomForestRegressor:
-    return RandomForestRegressor(
-        labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf,
-        featureSubsetStrategy=features, maxBins=BINS, seed=SEED,
+def forest(label: str = TARGET, trees: int = 100, depth: int = 0, min_leaf: int = 1, features: str = "all") -> Trees:
+    """Trees of bootstrap samples, without a depth limit at depth 0."""
+    return Trees(
+        labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf, featureSubsetStrategy=features
     )
 
 
-def extra_trees(
-    label: str = TARGET, trees: int = 200, depth: int = DEEP, min_leaf: int = 1
-) -> RandomForestRegressor:
-    """Nearest Spark form of extremely randomised trees: feature subsets on row subsets
-    drawn without replacement; thresholds are still the best ones."""
-    return RandomForestRegressor(
-        labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf, bootstrap=False,
-        subsamplingRate=0.8, featureSubsetStrategy="onethird", maxBins=BINS, seed=SEED,
+def extra_trees(label: str = TARGET, trees: int = 200, depth: int = 0, min_leaf: int = 1) -> Trees:
+    """Extremely randomised trees: a random cut for each feature of a node, the best of them is taken."""
+    return Trees(
+        labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf, bootstrap=False, randomCuts=True
     )
 
 
 def boosted(
-    label: str = TARGET, rounds: int = 100, depth: int = 3, rate: float = 0.1, bins: int = BINS,
-    min_leaf: int = 1, share: float = 1.0,
-) -> GBTRegressor:
-    return GBTRegressor(
-        labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=rate, maxBins=bins,
-        minInstancesPerNode=min_leaf, subsamplingRate=share, seed=SEED,
+    label: str = TARGET, rounds: int = 100, depth: int = 3, rate: float = 0.1, min_leaf: int = 1, share: float = 1.0,
+) -> Trees:
+    return Trees(
+        labelCol=label, kind="boosting", maxIter=rounds, maxDepth=depth, stepSize=rate, minInstancesPerNode=min_leaf,
+        subsamplingRate=share,
     )
 
 
-def boosted_hist(label: str = TARGET, rounds: int = 100, depth: int = 5, rate: float = 0.1) -> GBTRegressor:
-    """Histogram boosting: Spark's trees are binned already, here with 256 bins."""
-    return boosted(label, rounds, depth, rate, bins=256, min_leaf=20)
-
-
-# --- boosting with the Huber loss ---------------------------------------------------
-
-
-@dataclass
-class HuberBoosting:
-    """Additive trees on clipped residuals; the clip is the 90 % point of |residual|."""
-
-    start: float
-    rate: float
-    trees: list
-
-    def transform(self, df: DataFrame, output: str = "prediction") -> DataFrame:
-        total = F.lit(self.start)
-        out, names = df, []
-        for i, model in enumerate(self.trees):
-            name = f"_step_{i}"
-            out = model.setPredictionCol(name).transform(out)
-            names.append(name)
-            total = total + self.rate * F.col(name)
-        return out.withColumn(output, total).drop(*names)
-
-
-def fit_huber(
-    train: DataFrame, label: str = TARGET, rounds: int = 200, rate: float = 0.05, depth: int = 3,
-    alpha: float = 0.9, cut_every: int = 10,
-) -> HuberBoosting:
-    """Each round fits a tree to the clipped residuals. The clip point and the start come
-    from a mergeable quantile sketch; lineage is cut in the shared checkpoint folder."""
-    start = train.agg(F.percentile_approx(label, 0.5, 10_000)).first()[0]
-    state = written(train.select("features", F.col(label).alias("_y"), F.lit(float(start)).alias("_f")))
-    trees = []
-    for i in range(rounds):
-        residual = F.col("_y") - F.col("_f")
-        clip = state.agg(F.percentile_approx(F.abs(residual), alpha, 1_000)).first()[0]
-        step = state.withColumn("_g", F.greatest(F.lit(-clip), F.least(F.lit(clip), residual)))
-        model = DecisionTreeRegressor(
-            labelCol="_g", maxDepth=depth, maxBins=BINS, seed=SEED + i, predictionCol="_p"
-        ).fit(step)
-        trees.append(model)
-        state = model.transform(state).select(
-            "features", "_y", (F.col("_f") + rate * F.col("_p")).alias("_f")
-        )
-        if (i + 1) % cut_every == 0:
-            state = written(state)
-    return HuberBoosting(float(start), rate, trees)
+def boosted_hist(
+    label: str = TARGET, rounds: int = 100, depth: int = 0, rate: float = 0.1, leaves: int = 31, min_leaf: int = 20, l2: float = 0.0,
+) -> Trees:
+    """Trees grown leaf by leaf, 31 leaves of 20 rows or more."""
+    return Trees(
+        labelCol=label, kind="boosting", maxIter=rounds, maxDepth=depth, stepSize=rate, maxLeaves=leaves,
+        minInstancesPerNode=min_leaf, l2=l2,
+    )
+
+
+def huber(label: str = TARGET, rounds: int = 200, rate: float = 0.05, depth: int = 3) -> Trees:
+    """Boosting with the Huber loss: residuals are clipped at their 90 % point, leaves hold moved medians."""
+    return Trees(labelCol=label, kind="boosting", loss="huber", maxIter=rounds, stepSize=rate, maxDepth=depth)
 
 
 # --- combinations ---------------------------------------------------------------------
 
 
-def fit_log_target(train: DataFrame, estimator, label: str = TARGET) -> PipelineModel:
-    """Fit on log(1 + y) and predict back on the original scale, as one saveable model."""
-    hidden = estimator.copy({estimator.labelCol: "_log_label", estimator.predictionCol: "_log_prediction"})
-    fitted = hidden.fit(train.withColumn("_log_label", F.log1p(label)))
+def on_log_target(estimator):
+    """The estimator on the columns that ``fit_log_targets`` makes."""
+    return estimator.copy({estimator.labelCol: "_log_label", estimator.predictionCol: "_log_prediction"})
+
+
+def fit_log_targets(train: DataFrame, estimators: dict, label: str = TARGET) -> dict[str, PipelineModel]:
+    """Fit on log(1 + y) and predict back on the original scale; each one is a saveable model."""
+    hidden = {name: on_log_target(e) for name, e in estimators.items()}
     back = SQLTransformer(
         statement="SELECT * EXCEPT (`_log_prediction`), expm1(`_log_prediction`) AS prediction FROM __THIS__"
     )
-    return PipelineModel([fitted, back])
+    fitted = train_many(train.withColumn("_log_label", F.log1p(label)), hidden) if hidden else {}
+    return {name: PipelineModel([model, back]) for name, model in fitted.items()}
 
 
-@dataclass
-class ResidualCorrection:
-    """A base model and a second model of its training residuals."""
-
-    base: object
-    residual: object
-
-    def transform(self, df: DataFrame, output: str = "prediction") -> DataFrame:
-        first = self.base.transform(df).withColumnRenamed("prediction", "_base")
-        return (
-            self.residual.transform(first)
-            .withColumn(output, F.col("_base") + F.col("prediction"))
-            .drop("_base")
-        )
+def fit_log_target(train: DataFrame, estimator, label: str = TARGET) -> PipelineModel:
+    return fit_log_targets(train, {"": estimator}, label)[""]
 
 
-def correct_residuals(fitted, train: DataFrame, residual, label: str = TARGET) -> ResidualCorrection:
-    """A fitted model with a second one fitted to its training residuals."""
-    left = fitted.transform(train).withColumn("_residual", F.col(label) - F.col("prediction")).drop(
-        "prediction"
-    )
-    return ResidualCorrection(fitted, residual.copy({residual.labelCol: "_residual"}).fit(left))
+def correct_residuals(fitted, train: DataFrame, residual, label: str = TARGET) -> PipelineModel:
+    """A fitted model with a second one fitted to its training residuals, as one saveable model."""
+    left = fitted.transform(train).withColumn("_residual", F.col(label) - F.col("prediction")).drop("prediction")
+    second = residual.copy({residual.labelCol: "_residual"}).fit(left)
+    keep = SQLTransformer(statement="SELECT * EXCEPT (prediction), prediction AS `_base` FROM __THIS__")
+    add = SQLTransformer(statement="SELECT * EXCEPT (prediction, `_base`), `_base` + prediction AS prediction FROM __THIS__")
+    return PipelineModel([fitted, keep, second, add])
 
 
-def fit_residual_correction(train: DataFrame, base, residual, label: str = TARGET) -> ResidualCorrection:
+def fit_residual_correction(train: DataFrame, base, residual, label: str = TARGET) -> PipelineModel:
     return correct_residuals(base.fit(train), train, residual, label)
 
 
@@ -206,9 +144,21 @@ def improved_regressors(train: DataFrame, label: str = TARGET) -> dict:
 
 
 def train_many(train: DataFrame, estimators: dict) -> dict:
+    """Fit all estimators; trees of the same columns in one job, the others side by side."""
     if not estimators:
         raise ValueError("no estimators given")
-    return {name: estimator.fit(train) for name, estimator in estimators.items()}
+    groups: dict[tuple, dict] = {}
+    for name, e in estimators.items():
+        if isinstance(e, Trees):
+            columns = tuple(e.getOrDefault(p) for p in ("featuresCol", "labelCol", "maxBins"))
+            groups.setdefault(columns, {})[name] = e
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        plain = {n: pool.submit(e.fit, train) for n, e in estimators.items() if not isinstance(e, Trees)}
+        fitted = {}
+        for group in groups.values():
+            fitted |= ensembles.fit_many(train, group)
+        fitted |= {n: f.result() for n, f in plain.items()}
+    return {name: fitted[name] for name in estimators}
 
 
 def predict_long(models: dict, df: DataFrame, label: str, keep: list[str]) -> DataFrame:
@@ -236,9 +186,7 @@ def predict_wide(long: DataFrame, key: list[str], names: list[str]) -> DataFrame
 def classifiers(rows: int, classes: int = 3) -> dict:
     return {
         "decision_tree": DecisionTreeClassifier(maxDepth=5, maxBins=BINS, seed=SEED),
-        "random_forest": RandomForestClassifier(
-            numTrees=100, maxDepth=DEEP, featureSubsetStrategy="sqrt", maxBins=BINS, seed=SEED
-        ),
+        "random_forest": Trees(numTrees=100, featureSubsetStrategy="sqrt", impurity="gini", classes=classes),
         "logistic_regression": logistic(rows),
     }
 
@@ -271,12 +219,18 @@ def balanced_weight(train: DataFrame, label: str) -> Column:
 
 def fit_classifier(train: DataFrame, estimator, label: str) -> PipelineModel:
     """Classifier on a text label; ``predicho`` holds the predicted class."""
-    index = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(train)
+    index = class_index(train, label)
+    if isinstance(estimator, Trees):
+        estimator = estimator.copy({estimator.classes: len(index.labels)})
     fitted = estimator.fit(index.transform(train))
     back = IndexToString(inputCol="prediction", outputCol="predicho", labels=index.labels)
     return PipelineModel([fitted, back])
 
 
+def class_index(train: DataFrame, label: str):
+    return StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(train)
+
+
 def predict_classes(models: dict, df: DataFrame, label: str, keep: list[str]) -> DataFrame:
     out = None
     for name, model in models.items():
@@ -290,7 +244,3 @@ def predict_classes(models: dict, df: DataFrame, label: str, keep: list[str]) ->
 def full_model(encoder: PipelineModel, fitted) -> PipelineModel:
     """Preprocessing and learner as one model to save."""
     return PipelineModel([*encoder.stages, fitted])
-
-
-def as_pipeline(*stages) -> Pipeline:
-    return Pipeline(stages=list(stages))

@@ -35,7 +35,8 @@ def all_range_bounds(df: DataFrame, columns: list[str], rows: int) -> dict[str,
         return {c: [] for c in columns}
     grid = [i / ranges for i in range(1, ranges)]
     found = df.agg(*[F.percentile_approx(c, grid, 10 * ranges).alias(c) for c in columns]).first()
-    return {c: sorted(set(found[c] or [])) for c in columns}
+    # NaN has no place in an order, so what is not finite goes before sorting.
+    return {c: sorted({b for b in found[c] or [] if math.isfinite(b)}) for c in columns}
 
 
 def range_bounds(df: DataFrame, value: str, rows: int) -> list[float]:
@@ -48,10 +49,9 @@ def with_range(df: DataFrame, value: str, bounds: list[float]) -> DataFrame:
     NaN has the last range to itself.
     """
     present = df.where(F.col(value).isNotNull())
-    inner = [b for b in bounds if math.isfinite(b)]
-    if not inner:
+    if not bounds:
         return present.withColumn("_range", F.isnan(value).cast("double"))
-    splits = [-math.inf, *inner, math.inf]
+    splits = [-math.inf, *bounds, math.inf]
     ranged = Bucketizer(splits=splits, inputCol=value, outputCol="_range", handleInvalid="keep")
     return ranged.transform(present)
 

@@ -11,9 +11,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lastmile.operators import learners
+from lastmile.operators import ensembles, gram, learners
+from lastmile.operators.ensembles import Trees
 from lastmile.operators.prep import fit_encoder, slot_names
-from lastmile.operators.score import cls_metrics, reg_metrics
+from lastmile.operators.score import cls_metrics
 from lastmile.operators.sizing import written
 from lastmile.schema import LABEL, TARGET
 
@@ -21,51 +22,55 @@ SEED = 42
 PARALLEL = 4
 GRID_LIMIT = 120
 
-# Regression grids in Spark's parameter names (no depth limit = DEEP).
-D = learners.DEEP
+# Regression grids (a depth of 0 is no limit).
 GRIDS: dict[str, dict[str, list]] = {
     "linear_regression": {"fitIntercept": [True, False]},
-    "decision_tree_regressor": {"maxDepth": [3, 5, 8, 10, D], "minInstancesPerNode": [1, 2, 4]},
+    "decision_tree_regressor": {
+        "maxDepth": [3, 5, 8, 10, 0], "minInstancesSplit": [2, 5, 10], "minInstancesPerNode": [1, 2, 4],
+    },
     "random_forest_regressor": {
-        "numTrees": [50, 100, 200], "maxDepth": [3, 5, 8, D], "minInstancesPerNode": [1, 2, 4],
+        "numTrees": [50, 100, 200], "maxDepth": [3, 5, 8, 0], "minInstancesSplit": [2, 5, 10],
+        "minInstancesPerNode": [1, 2, 4],
     },
     "gradient_boosting_regressor": {
-        "maxIter": [50, 100, 200], "stepSize": [0.01, 0.05, 0.1], "maxDepth": [2, 3, 5],
+        "maxIter": [50, 100, 200], "stepSize": [0.01, 0.05, 0.1], "maxDepth": [2, 3, 5], "minInstancesSplit": [2, 5, 10],
     },
     "extra_trees_regressor": {
-        "numTrees": [100, 200, 300], "maxDepth": [5, 8, D], "minInstancesPerNode": [1, 2, 4],
+        "numTrees": [100, 200, 300], "maxDepth": [5, 8, 0], "minInstancesSplit": [2, 5, 10],
+        "minInstancesPerNode": [1, 2, 4],
     },
     "hist_gradient_boosting_regressor": {
-        "maxIter": [100, 200], "stepSize": [0.03, 0.05, 0.1], "minInstancesPerNode": [10, 20, 30],
+        "maxIter": [100, 200], "stepSize": [0.03, 0.05, 0.1], "maxLeaves": [15, 31, 63],
+        "minInstancesPerNode": [10, 20, 30],
     },
-    "knn_regressor": {"k": [3, 5, 7, 9], "weighted": [False, True]},
+    "knn_regressor": {"k": [3, 5, 7, 9], "weighted": [False, True], "p": [1, 2]},
 }
 # The wider spaces.
 SPACES: dict[str, dict[str, list]] = {
     "linear_regression": {"fitIntercept": [True, False]},
     "ridge_regression": {"alpha": [0.01, 0.1, 1.0, 5.0, 10.0, 25.0], "fitIntercept": [True, False]},
     "random_forest_regressor": {
-        "numTrees": [200, 300, 500, 700], "maxDepth": [D, 8, 12, 16, 24],
+        "numTrees": [200, 300, 500, 700], "maxDepth": [0, 8, 12, 16, 24], "minInstancesSplit": [2, 5, 10, 20],
         "minInstancesPerNode": [1, 2, 4, 8], "featureSubsetStrategy": ["sqrt", "log2", "0.6", "0.8"],
     },
     "extra_trees_regressor": {
-        "numTrees": [200, 300, 500, 700], "maxDepth": [D, 8, 12, 16, 24],
+        "numTrees": [200, 300, 500, 700], "maxDepth": [0, 8, 12, 16, 24], "minInstancesSplit": [2, 5, 10, 20],
         "minInstancesPerNode": [1, 2, 4, 8], "featureSubsetStrategy": ["sqrt", "log2", "0.6", "0.8"],
     },
     "gradient_boosting_regressor": {
-        "maxIter": [100, 200, 300, 500], "stepSize": [0.01, 0.03, 0.05, 0.1],
-        "maxDepth": [2, 3, 4, 5], "subsamplingRate": [0.8, 1.0],
+        "maxIter": [100, 200, 300, 500], "stepSize": [0.01, 0.03, 0.05, 0.1], "maxDepth": [2, 3, 4, 5],
+        "minInstancesSplit": [2, 5, 10], "subsamplingRate": [0.8, 1.0],
     },
     "hist_gradient_boosting_regressor": {
-        "stepSize": [0.01, 0.03, 0.05, 0.1], "maxDepth": [D, 4, 6, 8, 10],
-        "minInstancesPerNode": [10, 20, 30, 50], "maxIter": [200, 300, 500],
+        "stepSize": [0.01, 0.03, 0.05, 0.1], "maxDepth": [0, 4, 6, 8, 10], "maxLeaves": [15, 31, 63, 127],
+        "minInstancesPerNode": [10, 20, 30, 50], "l2": [0.0, 0.01, 0.1, 1.0], "maxIter": [200, 300, 500],
     },
 }
 # Classification spaces.
 CLASS_SPACES: dict[str, dict[str, list]] = {
     "random_forest": {
-        "numTrees": [100, 200, 300], "maxDepth": [5, 10, D], "minInstancesPerNode": [1, 2, 4],
-        "impurity": ["gini", "entropy"],
+        "numTrees": [100, 200, 300], "maxDepth": [5, 10, 0], "minInstancesSplit": [2, 5, 10],
+        "minInstancesPerNode": [1, 2, 4], "impurity": ["gini", "entropy"],
     },
     "logistic_regression": {
         "C": [0.01, 0.1, 1.0, 10.0, 100.0], "balanced": [False, True], "maxIter": [1000, 2000],
@@ -117,56 +122,96 @@ def encoded_folds(
     return [encoded_fold(df, i, numbers, categories, keep) for i in range(folds)]
 
 
-def cross_validate(
-    models: dict, folds: list[tuple[DataFrame, DataFrame]], label: str = TARGET
-) -> DataFrame:
-    """Mean and spread of the scores over the folds; a failing model gives its error text."""
-    jobs = [(name, i) for name in models for i in range(len(folds))]
+Moments = dict[tuple[str, int, bool], list[float]]
 
-    def run(job: tuple[str, int]):
-        name, i = job
-        train, test = folds[i]
+
+def fold_moments(models: dict, folds: list[tuple[DataFrame, DataFrame]], label: str = TARGET) -> tuple[Moments, dict[str, str]]:
+    """Sums that all scores follow from, by (model, fold, held out), and the error texts of failing models.
+
+    All trees are fitted by one job, least squares by two passes over the folds; others one by one.
+    """
+    found: Moments = {}
+    failed: dict[str, str] = {}
+
+    def collect(names: list[str], rows: DataFrame) -> None:
+        for r in rows.collect():
+            found[names[r["candidate"]], r["fold"], r["held"]] = list(r["m"])
+
+    def guarded(names: list[str], work: Callable[[], None]) -> None:
         try:
-            fitted = models[name].copy().fit(train)
+            work()
         except Exception as error:  # a failing candidate must not stop the others
-            return name, None, f"{type(error).__name__}: {error}"
-        scored = [
-            fitted.transform(part).select(
-                F.lit(name).alias("model"), F.lit(i).alias("fold"), F.lit(tag).alias("part"),
-                F.col(label).alias("real"), F.col("prediction").alias("predicho"),
-            )
-            for part, tag in ((train, "train"), (test, "test"))
-        ]
-        return name, scored[0].unionAll(scored[1]), ""
+            failed.update({name: f"{type(error).__name__}: {error}" for name in names})
+
+    grouped = [n for n, m in models.items() if isinstance(m, Trees) and m.getOrDefault("labelCol") == label]
+    lines = [n for n, m in models.items() if plain_line(m, label) is not None]
+    if grouped:
+        guarded(grouped, lambda: collect(grouped, ensembles.score_many([models[n] for n in grouped], folds, with_train=True)))
+    if lines:
+        points = [plain_line(models[n], label) for n in lines]
+        guarded(lines, lambda: collect(lines, gram.score_many(points, folds, label, with_train=True)))
+
+    def run(job: tuple[str, int]) -> None:
+        name, i = job
+
+        def work() -> None:
+            fitted = models[name].copy().fit(folds[i][0])
+            for held in (False, True):
+                found[name, i, held] = frame_moments(fitted.transform(folds[i][int(held)]), label)
+
+        guarded([name], work)
 
     with ThreadPoolExecutor(PARALLEL) as pool:
-        done = list(pool.map(run, jobs))
-    spark = folds[0][0].sparkSession
-    failed = {name: text for name, frame, text in done if frame is None}
-    errors = spark.createDataFrame(
-        [(name, failed.get(name, "")) for name in models], "model string, cv_error string"
-    )
-    frames = [frame for name, frame, _ in done if frame is not None and name not in failed]
+        list(pool.map(run, [(n, i) for n in models if n not in {*grouped, *lines} for i in range(len(folds))]))
+    return found, failed
+
+
+def plain_line(estimator, label: str = TARGET) -> tuple[float, bool] | None:
+    """(penalty, intercept) of unpenalised least squares, None for any other estimator."""
+    if isinstance(estimator, learners.LinearRegression) and estimator.getLabelCol() == label and not estimator.getRegParam():
+        return 0.0, estimator.getFitIntercept()
+    return None
+
+
+def frame_moments(scored: DataFrame, label: str) -> list[float]:
+    y, e = F.col(label), F.col(label) - F.col("prediction")
+    hit = (F.abs(e) <= 10).cast("double")
+    row = scored.agg(F.count(y), F.sum(e), F.sum(F.abs(e)), F.sum(e * e), F.sum(y), F.sum(y * y), F.sum(hit)).first()
+    return [float(v or 0.0) for v in row]
+
+
+def scores_of(m: list[float]) -> dict[str, float | None]:
+    """MAE, RMSE and R2 of moments; R2 is null where the label does not vary."""
+    n, _, abs_e, e2, y, y2, _ = m
+    spread = y2 - y * y / n if n else 0.0
+    return {
+        "mae": abs_e / n if n else None, "rmse": (e2 / n) ** 0.5 if n else None,
+        "r2": 1 - e2 / spread if spread > 1e-12 * max(y2, 1e-300) else None,
+    }
+
+
+def cross_validate(
+    models: dict, folds: list[tuple[DataFrame, DataFrame]], label: str = TARGET
+) -> DataFrame:
+    """Mean and spread of the scores over the folds; a failing model gives its error text."""
+    found, failed = fold_moments(models, folds, label)
     columns = [
         f"cv_{m}_{s}" for m in ("mae", "rmse", "r2") for s in ("mean", "std")
     ] + [f"train_{m}_mean" for m in ("mae", "rmse", "r2")]
-    if not frames:
-        return errors.select("model", *[F.lit(None).cast("double").alias(c) for c in columns], "cv_error")
-    per_fold = reg_metrics(reduce(DataFrame.unionAll, frames), ["model", "fold", "part"])
-    test, train = F.col("part") == "test", F.col("part") == "train"
-    sums = per_fold.groupBy("model").agg(
-        *[
-            f(F.when(test, F.col(m))).alias(f"cv_{m.lower()}_{s}")
-            for m in ("MAE", "RMSE", "R2")
-            for f, s in ((F.avg, "mean"), (F.stddev_pop, "std"))
-        ],
-        *[F.avg(F.when(train, F.col(m))).alias(f"train_{m.lower()}_mean") for m in ("MAE", "RMSE", "R2")],
-    )
-    return (
-        errors.join(F.broadcast(sums), "model", "left")
-        .select("model", *columns, "cv_error")
-        .orderBy(F.asc_nulls_last("cv_rmse_mean"), "model")
-    )
+    rows = []
+    for name in models:
+        values: list = [None] * len(columns)
+        if name not in failed:
+            by = {held: [scores_of(found[name, i, held]) for i in range(len(folds))] for held in (True, False)}
+            listed = {(held, m): [s[m] for s in by[held] if s[m] is not None] for held in by for m in ("mae", "rmse", "r2")}
+            mean = lambda v: sum(v) / len(v) if v else None
+            spread = lambda v: (sum((x - mean(v)) ** 2 for x in v) / len(v)) ** 0.5 if v else None
+            values = [f(listed[True, m]) for m in ("mae", "rmse", "r2") for f in (mean, spread)]
+            values += [mean(listed[False, m]) for m in ("mae", "rmse", "r2")]
+        rows.append((name, *values, failed.get(name, "")))
+    spark = folds[0][0].sparkSession
+    schema = "model string, " + ", ".join(f"{c} double" for c in columns) + ", cv_error string"
+    return spark.createDataFrame(rows, schema).orderBy(F.asc_nulls_last("cv_rmse_mean"), "model")
 
 
 Score = Callable[[DataFrame], float]
@@ -191,6 +236,26 @@ def f1(scored: DataFrame, label: str = LABEL, average: str = "macro") -> float:
     return cls_metrics(long).first()[f"f1_{average}"]
 
 
+def f1_of_confusion(m: list[float], average: str = "macro") -> float:
+    """F1 of a confusion matrix by rows (true classes), over the classes that occur or are predicted."""
+    size = int(round(len(m) ** 0.5))
+    table = [m[i * size : (i + 1) * size] for i in range(size)]
+    out = []
+    for k in range(size):
+        true, predicted = sum(table[k]), sum(row[k] for row in table)
+        if true or predicted:
+            out.append((2 * table[k][k] / (true + predicted), true))
+    total = sum(t for _, t in out)
+    return sum(f for f, _ in out) / len(out) if average == "macro" else sum(f * t for f, t in out) / total
+
+
+# The scores that follow from moments; other scores are taken on the predicted rows.
+FROM_MOMENTS: dict[Score, Callable[[list[float]], float]] = {
+    neg_rmse: lambda m: -((m[3] / m[0]) ** 0.5), neg_mae: lambda m: -m[2] / m[0], hit_rate_10: lambda m: m[6] / m[0],
+    f1: f1_of_confusion,
+}
+
+
 def search(
     points: list[dict],
     fit: Callable[[DataFrame, dict], object],
@@ -199,17 +264,15 @@ def search(
 ) -> DataFrame:
     """One row per candidate: parameters, score per fold, mean, population std, rank.
 
-    ``fit`` trains one candidate on one fold's rows. Scores are larger-is-better.
+    ``fit`` trains one candidate on one fold's rows. Scores are larger-is-better. Candidates
+    that are trees, least squares or ridge regressions are fitted and scored on all folds together.
     """
-    jobs = [(p, i) for p in range(len(points)) for i in range(len(folds))]
-
-    def run(job: tuple[int, int]) -> float:
-        p, i = job
-        train, test = folds[i]
-        return float(score(fit(train, points[p]).transform(test)))
-
-    with ThreadPoolExecutor(PARALLEL) as pool:
-        flat = list(pool.map(run, jobs))
+    together = fit.together(points, folds) if hasattr(fit, "together") and score in FROM_MOMENTS else None
+    if together is not None:
+        found = {(r["candidate"], r["fold"]): FROM_MOMENTS[score](list(r["m"])) for r in together.where("held").collect()}
+        flat = [float(found[p, i]) for p in range(len(points)) for i in range(len(folds))]
+    else:
+        flat = scored_apart(points, fit, folds, score)
     rows = []
     for p, point in enumerate(points):
         scores = flat[p * len(folds) : (p + 1) * len(folds)]
@@ -227,29 +290,94 @@ def search(
     )
 
 
-def fit_named(estimator, label: str = TARGET) -> Callable[[DataFrame, dict], object]:
-    """A ``fit`` for ``search``: the estimator with a candidate's parameters set."""
+def scored_apart(points: list[dict], fit: Callable, folds: list[tuple[DataFrame, DataFrame]], score: Score) -> list[float]:
+    """The score of each candidate on each fold, each fitted on its own.
+
+    Candidates that differ in their greatest number of iterations only share a fit, if it
+    ended before the smallest of these numbers.
+    """
+    groups: dict[tuple, list[int]] = {}
+    for p, point in enumerate(points):
+        groups.setdefault(tuple((k, v) for k, v in point.items() if k != "maxIter"), []).append(p)
+
+    def run(job: tuple[list[int], int]) -> list[tuple[int, int, float]]:
+        group, i = job
+        train, test = folds[i]
+        most = max(group, key=lambda p: points[p].get("maxIter", 0))
+        model = fit(train, points[most])
+        value, taken = float(score(model.transform(test))), iterations_of(model)
+        out = []
+        for p in group:
+            same = p == most or (taken is not None and taken < points[p].get("maxIter", 0))
+            out.append((p, i, value if same else float(score(fit(train, points[p]).transform(test)))))
+        return out
+
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        done = pool.map(run, [(group, i) for group in groups.values() for i in range(len(folds))])
+        found = {(p, i): value for part in done for p, i, value in part}
+    return [found[p, i] for p in range(len(points)) for i in range(len(folds))]
+
+
+def iterations_of(model) -> int | None:
+    """How many iterations a fitted classifier took, where it says so."""
+    first = getattr(model, "stages", [model])[0]
+    return first.summary.totalIterations if getattr(first, "hasSummary", False) else None
+
+
+class FitNamed:
+    """A ``fit`` for ``search``: the estimator with a candidate's parameters set; None stands for ridge."""
 
-    def fit(train: DataFrame, params: dict):
+    def __init__(self, estimator, label: str = TARGET):
+        self.estimator, self.label = estimator, label
+
+    def __call__(self, train: DataFrame, params: dict):
         if "alpha" in params:
-            return learners.ridge(train, params["alpha"], label, params.get("fitIntercept", True)).fit(train)
-        return with_params(estimator, params).fit(train)
+            return learners.ridge(train, params["alpha"], self.label, params.get("fitIntercept", True)).fit(train)
+        return with_params(self.estimator, params).fit(train)
+
+    def together(self, points: list[dict], folds: list[tuple[DataFrame, DataFrame]]) -> DataFrame | None:
+        if isinstance(self.estimator, Trees):
+            return ensembles.score_many([with_params(self.estimator, p) for p in points], folds)
+        if all(set(p) <= {"alpha", "fitIntercept"} for p in points) and (
+            all("alpha" in p for p in points) or plain_line(self.estimator, self.label) is not None
+        ):
+            lines = [(float(p.get("alpha", 0.0)), p.get("fitIntercept", True)) for p in points]
+            return gram.score_many(lines, folds, self.label)
+        return None
+
+
+def fit_named(estimator, label: str = TARGET) -> FitNamed:
+    return FitNamed(estimator, label)
 
-    return fit
 
+class FitClassNamed:
+    """A ``fit`` for ``search`` of a named classifier; penalties go by the rows of each fold's training part."""
 
-def fit_class_named(name: str, rows: int, label: str = LABEL) -> Callable[[DataFrame, dict], object]:
-    def fit(train: DataFrame, params: dict):
-        if name == "logistic_regression":
+    def __init__(self, name: str, label: str = LABEL):
+        self.name, self.label = name, label
+
+    def __call__(self, train: DataFrame, params: dict):
+        rows = train.count()
+        if self.name == "logistic_regression":
             weight = "_weight" if params.get("balanced") else None
-            ready = train.withColumn("_weight", learners.balanced_weight(train, label)) if weight else train
+            ready = train.withColumn("_weight", learners.balanced_weight(train, self.label)) if weight else train
             model = learners.logistic(rows, params["C"], weight, params["maxIter"])
-            return learners.fit_classifier(ready, model, label)
-        return learners.fit_classifier(
-            train, with_params(learners.classifiers(rows)[name], params), label
-        )
+            return learners.fit_classifier(ready, model, self.label)
+        return learners.fit_classifier(train, with_params(learners.classifiers(rows)[self.name], params), self.label)
+
+    def together(self, points: list[dict], folds: list[tuple[DataFrame, DataFrame]]) -> DataFrame | None:
+        base = learners.classifiers(1)[self.name]
+        if not isinstance(base, Trees):
+            return None
+        # Numbered alike in all folds; every class is in every fold, see effective_folds.
+        index = learners.class_index(folds[0][0].select(self.label).unionAll(folds[0][1].select(self.label)), self.label)
+        numbered = [(index.transform(a), index.transform(b)) for a, b in folds]
+        classes = len(index.labels)
+        return ensembles.score_many([with_params(base, {**p, "classes": classes}) for p in points], numbered)
+
 
-    return fit
+def fit_class_named(name: str, label: str = LABEL) -> FitClassNamed:
+    return FitClassNamed(name, label)
 
 
 def best_row(results: DataFrame) -> dict:
@@ -327,7 +455,7 @@ def permutation_importance(
 def tree_importance(fitted, encoded: DataFrame, top: int = 15) -> DataFrame:
     """Impurity importance per vector slot with its feature name."""
     names = slot_names(encoded)
-    values = fitted.featureImportances.toArray().tolist()
+    values = [float(v) for v in fitted.featureImportances]
     return (
         encoded.sparkSession.createDataFrame(list(zip(names, values)), "feature string, importance double")
         .orderBy(F.desc("importance"), "feature")

@@ -160,7 +160,8 @@ def precision(
     data = prepare(ready, numbers, categories)
     positive = data.train.where(F.col(TARGET) > 0)
     models = learners.train_many(data.train, tried)
-    models |= {f"{n}_log_target": learners.fit_log_target(positive, e) for n, e in tried.items()}
+    logs = learners.fit_log_targets(positive, tried)
+    models |= {f"{n}_log_target": model for n, model in logs.items()}
     predicted, metrics = _score(data, models)
     folded = prep.assign_folds(ready.where("split = 'train'"), folds)
     first = compare.rank_precision(metrics.where(F.col("model").isin(*tried))).first()["model"]
@@ -261,8 +262,7 @@ def hard_errors(
         "gradient_boosting_low_lr": {"rounds": 400, "rate": 0.03, "depth": 2},
     }
     data = prepare(ready, numbers, categories)
-    models = learners.train_many(data.train, tried)
-    models |= {n: learners.fit_huber(data.train, **o) for n, o in robust.items()}
+    models = learners.train_many(data.train, tried | {n: learners.huber(**o) for n, o in robust.items()})
     predicted, metrics = _score(data, models)
     first = metrics.orderBy(
         "MAE", "RMSE", F.desc("R2"), F.desc("acc_10_min"), "p90_absolute_error", "model"

@@ -86,7 +86,7 @@ def reg_gbt_hist(spark, sf):
 
 @query
 def reg_gbt_robust(spark, sf):
-    return rounded(_scores(spark, sf, gradient_boosting_huber=learners.fit_huber))
+    return rounded(_scores(spark, sf, gradient_boosting_huber=learners.huber()))
 
 
 def _embedded(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -290,9 +290,8 @@ def search_many(spark, sf):
     rows = ready.rows.where("split = 'train'")
     count = prep.effective_folds(rows, LABEL, 5)
     folds = search.encoded_folds(prep.assign_folds(rows, count), ready.numbers, ready.categories, count, [LABEL])
-    size = rows.count()
     found = {
-        name: search.search(search.grid_points(space), search.fit_class_named(name, size), folds, search.f1)
+        name: search.search(search.grid_points(space), search.fit_class_named(name), folds, search.f1)
         for name, space in search.CLASS_SPACES.items()
     }
     return rounded(search.search_many(found).select("model", "best_score", F.to_json("params").alias("params")), 4)

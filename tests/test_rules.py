@@ -189,7 +189,7 @@ def test_huber_and_residual_models_beat_the_mean(spark):
 
     data = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
     fits = {
-        "huber": learners.fit_huber(data, "y", rounds=12, rate=0.3, cut_every=4),
+        "huber": learners.huber("y", rounds=12, rate=0.3).fit(data),
         "both": learners.fit_residual_correction(data, learners.tree("y", 2), learners.tree("y", 2), "y"),
     }
     got = {r["model"]: r["R2"] for r in score.reg_metrics(learners.predict_long(fits, data, "y", [])).collect()}
