@@ -1,0 +1,11 @@
+"""Operators on delivery frames.
+
+Python functions of this package are sent to the executors by value, so a cluster needs no
+installed copy of it.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

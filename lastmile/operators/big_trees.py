@@ -86,13 +86,12 @@ def find_splits(rows: DataFrame, growing: list[Growing], cuts: list[list[float]]
     levels = ensembles.bin_levels(cuts)
     asked = [(i, g, g.tree.arrays(), np.array([o.node for o in g.open])) for i, g in enumerate(growing) if g.open]
     classes = {i: max(g.s["classes"], 1) for i, g, *_ in asked}
-    shared = rows.sparkSession.sparkContext.broadcast(asked)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, list] = {}
         for x, y, ids, totals in batches_of(batches, slots):
             flat = x.astype(np.int64) + np.arange(slots) * width
-            for i, g, tree, nodes in shared.value:
+            for i, g, tree, nodes in asked:
                 at = trees.leaf_of(tree, x)
                 rank = np.searchsorted(nodes, at)
                 rank[rank == len(nodes)] = 0
@@ -100,7 +99,7 @@ def find_splits(rows: DataFrame, growing: list[Growing], cuts: list[list[float]]
                 mine = np.flatnonzero((nodes[rank] == at) & (weight > 0))
                 made = trees.histograms(flat[mine], rank[mine], len(nodes), target[mine], weight[mine], width)
                 sums[i] = [a + b for a, b in zip(sums[i], made)] if i in sums else list(made)
-        for i, _, _, nodes in shared.value:
+        for i, _, _, nodes in asked:
             for k, node in enumerate(nodes.tolist() if i in sums else []):
                 data = [[v] for v in (i, node, sums[i][0][k].tobytes(), sums[i][1][k].tobytes())]
                 kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
@@ -109,7 +108,7 @@ def find_splits(rows: DataFrame, growing: list[Growing], cuts: list[list[float]]
     def decide(table: pa.Table) -> pa.Table:
         i, node = table.column("tree")[0].as_py(), table.column("node")[0].as_py()
         total = [sum(np.frombuffer(v.as_py()) for v in table.column(c)) for c in ("rows", "sums")]
-        g, place = next((g, [o.node for o in g.open].index(node)) for j, g, *_ in shared.value if j == i)
+        g, place = next((g, [o.node for o in g.open].index(node)) for j, g, *_ in asked if j == i)
         rows_h, sums_h = total[0].reshape(1, slots, width), total[1].reshape(1, slots, width, classes[i])
         rule = ensembles.rule_of(g.s, slots)
         gain, slot, cut = (v[0] for v in trees.splits_of_histograms(rows_h, sums_h, g.open[place].key, g.seed, rule, levels))
@@ -121,7 +120,6 @@ def find_splits(rows: DataFrame, growing: list[Growing], cuts: list[list[float]]
         return pa.table({n: pa.array([v], k) for n, v, k in zip(names, values, kinds)})
 
     found = rows.mapInArrow(add_up, PARTIAL).groupBy("tree", "node").applyInArrow(decide, SPLIT).collect()
-    shared.destroy()
     return {
         (r["tree"], r["node"]): (r["gain"], r["slot"], r["cut"], np.array(r["rows"]), np.array(r["sums"]).reshape(2, -1))
         for r in found
@@ -197,13 +195,12 @@ def finish_small_nodes(rows: DataFrame, growing: list[Growing], cuts: list[list[
     asked = [(i, g, g.tree.arrays(), np.array([o.node for o in g.open])) for i, g in enumerate(growing) if g.open]
     if not asked:
         return
-    shared = rows.sparkSession.sparkContext.broadcast(asked)
     names = ["tree", "node", "id", "y", "x", "w"]
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x, y, ids, totals in batches_of(iter([batch]), slots):
-                for i, g, tree, nodes in shared.value:
+                for i, g, tree, nodes in asked:
                     at = trees.leaf_of(tree, x)
                     target, weight = aim(g, x, y, ids, totals)
                     mine = np.flatnonzero(np.isin(at, nodes) & (weight > 0))
@@ -216,7 +213,7 @@ def finish_small_nodes(rows: DataFrame, growing: list[Growing], cuts: list[list[
 
     def finish(table: pa.Table) -> pa.Table:
         i, node = table.column("tree")[0].as_py(), table.column("node")[0].as_py()
-        g, o = next((g, next(o for o in g.open if o.node == node)) for j, g, *_ in shared.value if j == i)
+        g, o = next((g, next(o for o in g.open if o.node == node)) for j, g, *_ in asked if j == i)
         order = np.argsort(table.column("id").to_numpy())
         x, y = ensembles.matrix(table.column("x"), slots)[order], table.column("y").to_numpy()[order]
         target = ensembles.targets(y, g.s["classes"])
@@ -230,7 +227,6 @@ def finish_small_nodes(rows: DataFrame, growing: list[Growing], cuts: list[list[
         graft(growing[r["tree"]].tree, r["node"], ensembles.unpacked(bytes(r["data"])))
     for g in growing:
         g.open = []
-    shared.destroy()
 
 
 def graft(tree: trees.Tree, node: int, below: dict[str, np.ndarray]) -> None:
@@ -322,11 +318,10 @@ def _boosted(rows: DataFrame, settings: dict[str, dict], cuts: list[list[float]]
 def residuals(state: DataFrame, robust: list[Growing], slots: int) -> DataFrame:
     """(tree, leaf, r): the residual of every row that a tree uses, and the leaf it is in."""
     asked = [(i, g, g.tree.arrays()) for i, g in enumerate(robust)]
-    shared = state.sparkSession.sparkContext.broadcast(asked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x, y, ids, totals in batches_of(batches, slots):
-            for i, g, tree in shared.value:
+            for i, g, tree in asked:
                 used = aim(g, x, y, ids, totals)[1] > 0
                 left = residual_of(g, x, y, totals)[used]
                 leaf = trees.leaf_of(tree, x)[used]
@@ -362,13 +357,12 @@ def set_huber_leaves(state: DataFrame, robust: list[Growing], slots: int) -> Non
 
 def with_totals(state: DataFrame, recent: list[list[dict]], slots: int) -> DataFrame:
     """The rows with the recent trees of each ensemble added to its total."""
-    shared = state.sparkSession.sparkContext.broadcast(recent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x, _, _, totals in batches_of(iter([batch]), slots):
                 totals = totals.copy()
-                for place, made in enumerate(shared.value):
+                for place, made in enumerate(recent):
                     for t in made:
                         totals[:, place] += t["value"][trees.leaf_of(t, x), 0]
                 at = batch.schema.get_field_index("totals")
@@ -388,14 +382,8 @@ def score(points: list, rows: DataFrame, all_cuts: list[list[list[float]]], with
             seen = mine if with_train else mine.where("held")
             part = seen.mapInArrow(scoring(fold, s, members, *fitted[str(k)], len(cuts)), ensembles.SCORES)
             out = part if out is None else out.unionAll(part)
-    added = F.transform(
-        F.sequence(F.lit(0), F.lit((points[0].settings()["classes"] ** 2 or len(ensembles.MOMENTS)) - 1)),
-        lambda i: F.element_at("m", i + 1),
-    )
-    wide = out.select("candidate", "fold", "held", F.posexplode(added).alias("i", "v"))
-    sums = wide.groupBy("candidate", "fold", "held", "i").agg(F.sum("v").alias("v"))
-    listed = sums.groupBy("candidate", "fold", "held").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("m"))
-    return written(listed.withColumn("m", F.transform("m", lambda x: x["v"])))
+    classes = max(s["classes"] for s, _ in made)
+    return written(ensembles.added_moments(out, classes**2 or len(ensembles.MOMENTS)))
 
 
 def scoring(fold: int, s: dict, members: list, start: float, packed: list[bytes], slots: int) -> Callable:
@@ -405,12 +393,15 @@ def scoring(fold: int, s: dict, members: list, start: float, packed: list[bytes]
                 continue
             x, y, _, _ = next(batches_of(iter([batch]), slots))
             held = batch.column(batch.schema.get_field_index("held")).to_numpy(zero_copy_only=False).astype(bool)
-            staged, rows = ensembles.Staged(s, members, x, start), []
+            staged, rows = ensembles.Staged(s, members, x), []
             for data in packed:
-                for candidate, p in staged.add(ensembles.unpacked(data)):
-                    for side in {*held.tolist()}:
-                        m = ensembles.moments(y[held == side], p[held == side], s["classes"])
-                        rows.append({"candidate": candidate, "fold": fold, "held": side, "m": m.tolist()})
+                staged.add(ensembles.unpacked(data))
+                for candidate, many, *stop in members:
+                    if many == staged.seen:
+                        p = ensembles.prediction(s, staged.totals[tuple(stop)], start, many)
+                        for side in {*held.tolist()}:
+                            m = ensembles.moments(y[held == side], p[held == side], s["classes"])
+                            rows.append({"candidate": candidate, "fold": fold, "held": side, "m": m.tolist()})
             yield pa.RecordBatch.from_pylist(
                 rows, pa.schema([("candidate", pa.int32()), ("fold", pa.int32()), ("held", pa.bool_()), ("m", pa.list_(pa.float64()))])
             )

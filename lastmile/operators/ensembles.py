@@ -14,7 +14,6 @@ a small forest is the beginning of a large one, and a shallow tree the top of a
 from __future__ import annotations
 
 import io
-import itertools
 import json
 import math
 from collections.abc import Iterator
@@ -35,6 +34,8 @@ from lastmile.operators.trees import Boost, Rule
 
 NODE_ROWS = 1_000_000  # rows that one task takes; beyond, nodes are split by summed histograms
 TREES_PER_UNIT = 7
+TREES_PER_SCORE = 25  # of a forest whose candidates are scored, in one task
+SCORE_ROWS = 10_000  # whose sums of trees meet in one task
 HISTOGRAM_CELLS = 4_000_000  # of the nodes whose histograms one pass adds up
 PARTITIONS_PER_UNIT = 4
 SEED = 42
@@ -404,27 +405,33 @@ def families(points: list[Trees]) -> list[tuple[dict, list[tuple[int, int, int,
 
 
 class Staged:
-    """Predictions of a family's candidates on some rows, read off while its trees come."""
+    """Sums of a family's trees on some rows, read off while its trees come.
 
-    def __init__(self, s: dict, members: list[tuple[int, int, int, int]], x: np.ndarray, start: float):
-        self.s, self.members, self.x, self.start, self.seen = s, members, x, start, 0
-        self.totals = {m[2:]: np.zeros((len(x), max(s["classes"], 1))) for m in members}
+    Trees are numbered from 1; ``first`` is the number before the first that comes.
+    """
+
+    def __init__(self, s: dict, members: list[tuple[int, int, int, int]], x: np.ndarray, first: int = 0):
+        self.s, self.x, self.seen = s, x, first
+        self.marks = {m[1] for m in members}
+        self.stops = sorted({m[2:] for m in members})
+        self.totals = {stop: np.zeros((len(x), max(s["classes"], 1))) for stop in self.stops}
 
-    def add(self, tree: dict) -> Iterator[tuple[int, np.ndarray]]:
-        """(candidate, predictions) of those that have all their trees with this one."""
+    def add(self, tree: dict) -> None:
         self.seen += 1
         for (depth, split), total in self.totals.items():
             total += tree["value"][trees.leaf_of(tree, self.x, depth, split)]
-        for candidate, many, *stop in self.members:
-            if many == self.seen:
-                total = self.totals[tuple(stop)]
-                if self.s["classes"]:
-                    yield candidate, total.argmax(1)
-                else:
-                    yield candidate, self.start + total[:, 0] / (many if self.s["kind"] == "forest" else 1)
+
+
+def prediction(s: dict, total: np.ndarray, start: float, many: int) -> np.ndarray:
+    if s["classes"]:
+        return total.argmax(1)
+    return start + total[:, 0] / (many if s["kind"] == "forest" else 1)
 
 
 MOMENTS = ("n", "e", "abs_e", "e2", "y", "y2", "hits_10")
+SUM_NAMES = ["family", "fold", "block", "mark", "stop", "ended", "start", "sums", "y", "held"]
+SUM_KINDS = [*[pa.int32()] * 5, pa.bool_(), pa.float64(), *[pa.binary()] * 3]
+SUMS = "family int, fold int, block int, mark int, stop int, ended boolean, start double, sums binary, y binary, held binary"
 SCORES = "candidate int, fold int, held boolean, m array<double>"
 
 
@@ -440,8 +447,8 @@ def score_many(points: list[Trees], folds: list[tuple[DataFrame, DataFrame]], wi
     """SCORES of all candidates on all folds: sums over the held-out (and the training) rows.
 
     Preprocessing and bins are each fold's own. Families of candidates and folds are units of
-    one job; a family's trees are grown once, and its candidates read their predictions off on
-    the way.
+    one job, forests in parts; a family's trees are grown once, and the sums that its candidates
+    predict from are read off on the way. Sums of parts meet by blocks of rows.
     """
     one = points[0]
     features, label = one.getOrDefault("featuresCol"), one.getOrDefault("labelCol")
@@ -459,12 +466,14 @@ def score_many(points: list[Trees], folds: list[tuple[DataFrame, DataFrame]], wi
 
         return big_trees.score(points, rows, all_cuts, with_train)
     made = families(points)
-    # Split a forest's trees over several units, each giving sums of predictions, would move all
-    # predictions; families and folds are enough units to be worked off side by side.
-    units = list(itertools.product(range(len(made)), range(len(folds))))
+    units = []  # (family, fold, the forest's trees or None)
+    for f, (settings, _) in enumerate(made):
+        many = settings["numTrees"] if settings["kind"] == "forest" else 1
+        size = TREES_PER_SCORE if settings["kind"] == "forest" else 1
+        units += [(f, fold, i, min(i + size, many)) for fold in range(len(folds)) for i in range(0, many, size)]
 
     def work(table: pa.Table) -> pa.Table:
-        family, fold = units[table.column("unit")[0].as_py()]
+        family, fold, first, last = units[table.column("unit")[0].as_py()]
         s, members = made[family]
         cuts = all_cuts[fold]
         x, y, ids = matrix(table.column("x"), len(cuts)), table.column("y").to_numpy(), table.column("id").to_numpy()
@@ -472,23 +481,56 @@ def score_many(points: list[Trees], folds: list[tuple[DataFrame, DataFrame]], wi
         order = np.lexsort((ids, held))
         x, y, ids, held = x[order], y[order], ids[order], held[order]
         fit, seen = ~held, np.ones(len(y), bool) if with_train else held
-        out = []
-        steps = grown(s, list(range(s["numTrees"])), x[fit], y[fit], ids[fit], bin_levels(cuts))
+        steps = grown(s, list(range(first, last)), x[fit], y[fit], ids[fit], bin_levels(cuts))
         start = next(steps) if s["kind"] == "boosting" else 0.0
-        staged = Staged(s, members, x[seen], start)
-        for tree in steps:
-            for candidate, p in staged.add(tree):
-                for side in {False, True} if with_train else {True}:
-                    at = held[seen] == side
-                    out.append((candidate, fold, side, moments(y[seen][at], p[at], s["classes"]).tolist()))
-        columns = list(zip(*out))
-        return pa.table(
-            {"candidate": pa.array(columns[0], pa.int32()), "fold": pa.array(columns[1], pa.int32()),
-             "held": pa.array(columns[2], pa.bool_()), "m": pa.array(columns[3], pa.list_(pa.float64()))}
-        )
+        staged, out, n = Staged(s, members, x[seen], first), [], int(seen.sum())
+
+        def note(end: bool) -> None:
+            for stop, total in enumerate(staged.totals.values()):
+                for block, at in enumerate(range(0, n, SCORE_ROWS)):
+                    part = slice(at, at + SCORE_ROWS)
+                    own = (y[seen][part].tobytes(), held[seen][part].tobytes()) if end and stop == 0 and first == 0 else (None, None)
+                    out.append((family, fold, block, staged.seen, stop, end, start, total[part].tobytes(), *own))
 
-    numbered = F.array(*[F.struct(F.lit(u).alias("unit"), F.lit(fold).alias("fold")) for u, (_, fold) in enumerate(units)])
+        for tree in steps:
+            staged.add(tree)
+            if staged.seen in staged.marks:
+                note(False)
+        note(True)
+        return pa.table({n_: pa.array(c, k) for n_, c, k in zip(SUM_NAMES, zip(*out), SUM_KINDS)})
+
+    def assemble(table: pa.Table) -> pa.Table:
+        rows_ = sorted(table.select(SUM_NAMES).to_pylist(), key=lambda r: (r["mark"], r["ended"]))
+        s, members = made[rows_[0]["family"]]
+        stops = sorted({m[2:] for m in members})
+        whole = next(r for r in rows_ if r["y"] is not None)
+        y, held = np.frombuffer(whole["y"]), np.frombuffer(whole["held"], bool)
+        before, out = {k: np.zeros((len(y), max(s["classes"], 1))) for k in range(len(stops))}, []
+        for r in rows_:
+            total = before[r["stop"]] + np.frombuffer(r["sums"]).reshape(len(y), -1)
+            if r["ended"]:
+                before[r["stop"]] = total
+                continue
+            for candidate, many, *stop in members:
+                if many == r["mark"] and tuple(stop) == stops[r["stop"]]:
+                    p = prediction(s, total, r["start"], many)
+                    out += [
+                        (candidate, r["fold"], side, moments(y[held == side], p[held == side], s["classes"]).tolist())
+                        for side in {*held.tolist()}
+                    ]
+        kinds = (pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.float64()))
+        columns = list(zip(*out)) or [[]] * 4
+        return pa.table({n_: pa.array(c, k) for n_, c, k in zip(("candidate", "fold", "held", "m"), columns, kinds)})
+
+    numbered = F.array(*[F.struct(F.lit(u).alias("unit"), F.lit(unit[1]).alias("fold")) for u, unit in enumerate(units)])
     mine = F.filter(numbered, lambda u: u["fold"] == F.col("part"))
     n = max(1, min(PARTITIONS_PER_UNIT * len(units), 4000))
     spread = rows.withColumn("unit", F.explode(F.transform(mine, lambda u: u["unit"]))).select("unit", "id", "y", "x", "held")
-    return written(spread.repartition(n, "unit").groupBy("unit").applyInArrow(work, SCORES))
+    sums = spread.repartition(n, "unit").groupBy("unit").applyInArrow(work, SUMS)
+    parts = sums.groupBy("family", "fold", "block").applyInArrow(assemble, SCORES)
+    return written(added_moments(parts, len(MOMENTS) if not one.settings()["classes"] else max(s["classes"] for s, _ in made) ** 2))
+
+
+def added_moments(parts: DataFrame, size: int) -> DataFrame:
+    """SCORES of parts of the rows, added up."""
+    return parts.groupBy("candidate", "fold", "held").agg(F.array(*[F.sum(F.get("m", F.lit(i))) for i in range(size)]).alias("m"))

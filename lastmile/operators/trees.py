@@ -151,51 +151,58 @@ def splits_of_histograms(rows: np.ndarray, sums: np.ndarray, keys: np.ndarray, s
     return gain[np.arange(nodes), best], best // bins, best % bins
 
 
-def splits_by_sorting(bins: np.ndarray, rank: np.ndarray, keys: np.ndarray, target: np.ndarray, weight: np.ndarray,
+def splits_by_sorting(columns: np.ndarray, rank: np.ndarray, keys: np.ndarray, target: np.ndarray, weight: np.ndarray,
                       seed: int, rule: Rule, levels: np.ndarray) -> tuple:
-    """Like ``splits_of_histograms`` for many small nodes, whose histograms would be mostly empty."""
-    nodes, slots = len(keys), bins.shape[1]
+    """Like ``splits_of_histograms`` for many small nodes, whose histograms would be mostly empty.
+
+    ``columns`` holds the bins by feature.
+    """
+    nodes, slots = len(keys), len(columns)
     order = np.argsort(rank, kind="stable")
     starts = np.searchsorted(rank[order], np.arange(nodes))
-    sorted_bins = bins[order]
-    low = np.minimum.reduceat(sorted_bins, starts, axis=0).astype(np.int64)
-    high = np.maximum.reduceat(sorted_bins, starts, axis=0).astype(np.int64)
+    low, high = np.empty((nodes, slots), np.int64), np.empty((nodes, slots), np.int64)
+    for s in range(slots):
+        ordered = columns[s][order]
+        low[:, s], high[:, s] = np.minimum.reduceat(ordered, starts), np.maximum.reduceat(ordered, starts)
     tried = tried_slots(keys, high > low, seed, rule)
+    weighed = weight[:, None] * target
     all_rows = np.bincount(rank, weight, nodes)
-    all_sums = np.stack([np.bincount(rank, weight * t, nodes) for t in target.T], -1)
+    all_sums = np.stack([np.bincount(rank, t, nodes) for t in weighed.T], -1)
     whole = worth(all_sums, all_rows, rule)
     best_gain, best_slot, best_cut = np.full(nodes, -np.inf), np.zeros(nodes, np.int64), np.zeros(nodes, np.int64)
     drawn = random_cut_bins(low, high, keys, seed, levels) if rule.random_cuts else None
     for s in range(slots):
-        mine = tried[rank, s]
-        r, b, w, t = rank[mine], bins[mine, s], weight[mine], target[mine]
-        if not len(r):
+        if not tried[:, s].any():
             continue
+        r, b, w, t = rank, columns[s], weight, weighed
+        if 2 * tried[:, s].sum() < nodes:  # look at the rows of these nodes only
+            mine = np.flatnonzero(tried[:, s][rank])
+            r, b, w, t = r[mine], b[mine], w[mine], t[mine]
         if rule.random_cuts:
-            go = b <= drawn[r, s]
-            left_rows = np.bincount(r[go], w[go], nodes)
-            left_sums = np.stack([np.bincount(r[go], w[go] * t[go, k], nodes) for k in range(t.shape[1])], -1)
+            cut = drawn[:, s]
+            go = b <= cut.astype(np.uint8)[r]
+            left_rows = np.bincount(r, w * go, nodes)
+            left_sums = np.stack([np.bincount(r, t[:, k] * go, nodes) for k in range(t.shape[1])], -1)
             gain = worth(left_sums, left_rows, rule) + worth(all_sums - left_sums, all_rows - left_rows, rule) - whole
-            fine = tried[:, s] & (left_rows >= rule.min_leaf) & (all_rows - left_rows >= max(rule.min_leaf, 1))
-            gain, cut = np.where(fine, gain, -np.inf), drawn[:, s]
+            gain[(left_rows < rule.min_leaf) | (all_rows - left_rows < max(rule.min_leaf, 1))] = -np.inf
         else:
             width = int(b.max()) + 1
             dense = nodes * width <= 4 * len(r)
             gain, cut = (best_cuts_dense if dense else best_cuts_sorted)(r, b, w, t, width, all_rows, all_sums, whole, rule)
-            gain = np.where(tried[:, s], gain, -np.inf)
+        gain = np.where(tried[:, s], gain, -np.inf)
         better = gain > best_gain
         best_gain[better], best_slot[better], best_cut[better] = gain[better], s, cut[better]
     return best_gain, best_slot, best_cut
 
 
 def best_cuts_dense(r, b, w, t, width: int, all_rows, all_sums, whole, rule: Rule) -> tuple:
-    """(gain, cut) of each node on one feature, from a histogram of the feature."""
+    """(gain, cut) of each node on one feature, from a histogram of the feature; ``t`` is weighed."""
     nodes = len(all_rows)
     at = r * width + b
     left_rows = np.bincount(at, w, nodes * width).reshape(nodes, width)
     here = left_rows > 0
     left_rows = left_rows.cumsum(1)
-    left_sums = np.stack([np.bincount(at, w * t[:, k], nodes * width).reshape(nodes, width).cumsum(1) for k in range(t.shape[1])], -1)
+    left_sums = np.stack([np.bincount(at, t[:, k], nodes * width).reshape(nodes, width).cumsum(1) for k in range(t.shape[1])], -1)
     right = all_rows[:, None] - left_rows
     gain = worth(left_sums, left_rows, rule) + worth(all_sums[:, None] - left_sums, right, rule) - whole[:, None]
     gain[~(here & (left_rows >= rule.min_leaf) & (right >= max(rule.min_leaf, 1)))] = -np.inf
@@ -212,7 +219,7 @@ def best_cuts_sorted(r, b, w, t, width: int, all_rows, all_sums, whole, rule: Ru
     ends = np.append(np.flatnonzero(key[1:] != key[:-1]), len(key) - 1)
     node, bin_ = key[ends] // width, key[ends] % width
     up_rows = np.cumsum(w[o])[ends]
-    up_sums = np.cumsum(w[o, None] * t[o], axis=0)[ends]
+    up_sums = np.cumsum(t[o], axis=0)[ends]
     first = np.append(0, np.flatnonzero(node[1:] != node[:-1]) + 1)
     sizes = np.diff(np.append(first, len(node)))
     base = np.repeat(first - 1, sizes)
@@ -264,6 +271,7 @@ def grow(bins: np.ndarray, target: np.ndarray, weight: np.ndarray, rule: Rule, s
     bins, target, weight = bins[rows], target[rows], weight[rows]
     width = int(bins.max(initial=0)) + 1
     flat = bins.astype(np.int64) + np.arange(bins.shape[1]) * width
+    columns = np.ascontiguousarray(bins.T)
     keys = root_key() if key is None else key
     rank = np.zeros(len(rows), np.int64)
     count, sums, values = node_values(rank, 1, target, weight, rule)
@@ -284,7 +292,7 @@ def grow(bins: np.ndarray, target: np.ndarray, weight: np.ndarray, rule: Rule, s
             made = histograms(flat[alive], rank, len(ids), target[alive], weight[alive], width)
             gain, slot, cut = splits_of_histograms(*made, keys, seed, rule, levels)
         else:
-            gain, slot, cut = splits_by_sorting(bins[alive], rank, keys, target[alive], weight[alive], seed, rule, levels)
+            gain, slot, cut = splits_by_sorting(columns[:, alive], rank, keys, target[alive], weight[alive], seed, rule, levels)
         split = gain > SMALLEST_GAIN * (1 + np.abs(own))
         if not split.any():
             break
