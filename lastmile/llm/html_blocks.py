@@ -53,7 +53,7 @@ PHRASES = {
     "reply": (" reply", " replies", " comment", "posted by", "says:", " ago ", "antworten", "répondre", "responder"),
     "more": ("read more", " related ", "share this", " next ", " previous ", "back to top", "skip to", " home ", " menu "),
 }
-FURNITURE_CHARS = 200  # page furniture says what it is at its start
+FOREIGN = frozenset(["svg", "math"])  # only these may end themselves with a slash
 
 FEATURES = {
     name: i
@@ -92,8 +92,8 @@ def _text_features(text: str, link_share: float) -> list[str]:
     words = text.split(" ")
     count = len(words)
     out = [f"words {min(count.bit_length(), 8)}", f"links {min(int(link_share * 5), 4)}"]
-    start = f" {text[:FURNITURE_CHARS].lower()} "  # for features only; texts stay whole
-    said = [k for k, phrases in PHRASES.items() if any(p in start for p in phrases)]
+    whole = f" {text.lower()} "
+    said = [k for k, phrases in PHRASES.items() if any(p in whole for p in phrases)]
     out += [f"says {k}" for k in said]
     if count <= 12:
         out += [f"short says {k}" for k in said]
@@ -177,9 +177,11 @@ def blocks(html: str | None) -> list[Block]:
             continue
         closing, tag = token[1], token[2].lower()
         if tag in RAW:
-            if not closing and not token[3].endswith("/"):
+            if not closing:
+                # A slash does not end these. Where one has a slash and no end tag, it was meant to.
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(html, at)
-                at = end.end() if end else len(html)
+                if end or not token[3].endswith("/"):
+                    at = end.end() if end else len(html)
             pieces.append(" ")
             continue
         if skipping:
@@ -193,11 +195,11 @@ def blocks(html: str | None) -> list[Block]:
             ):
                 skipping.clear()
             else:
-                if not closing and tag in INSIDE and not token[3].endswith("/"):
+                if not closing and tag in INSIDE and not (tag in FOREIGN and token[3].endswith("/")):
                     skipping.append(tag)
                 continue
         if tag in SKIPPED:
-            if not closing and not token[3].endswith("/") and not (tag == "head" and depth.get("body")):
+            if not closing and not (tag in FOREIGN and token[3].endswith("/")) and not (tag == "head" and depth.get("body")):
                 skipping.append(tag)
             pieces.append(" ")
             continue

@@ -36,6 +36,8 @@ class PageMaker:
         if self.rnd.random() < 0.08:  # odd article text: tables of words, shouting
             return " | ".join(self.word() for _ in range(self.rnd.randint(3, 30)))
         text = " ".join(self.sentence() for _ in range(self.rnd.randint(1, 8)))
+        if self.rnd.random() < 0.04:  # articles may speak of such things
+            text += " " + self.say(self.rnd.choice(list(SAID)))
         return text.upper().replace(" ", "!! ") if self.rnd.random() < 0.05 else text
 
     def say(self, kind: str) -> str:
@@ -106,13 +108,16 @@ class PageMaker:
             text = rnd.choice([self.sentence(3, 20), self.prose(), self.say("ad")])
             return self.wrap("div", rnd.choice(["ad", "ads", "advert", "ad-banner", "sponsored", "promo"]), text), [0]
         if kind == "cookie":
-            return self.wrap(rnd.choice(["div", "section"]), rnd.choice(["cookie-notice", "consent", "notice", "gdpr-banner"]), f"<p>{self.say('cookie')} {rnd.choice(['', self.sentence()])}</p>"), [0]
+            return self.wrap(rnd.choice(["div", "section"]), rnd.choice(["cookie-notice", "consent", "notice", "gdpr-banner", "box", "row"]), f"<p>{rnd.choice(['', '', self.prose()])} {self.say('cookie')} {rnd.choice(['', self.sentence()])}</p>"), [0]
         if kind == "aside":
             inner = f"<h4>{rnd.choice(['Related', 'Popular', self.sentence(1, 3)])}</h4><ul>{self.links(n)}</ul><p>{self.prose()}</p>"
             return self.wrap(rnd.choice(["aside", "aside", "div"]), rnd.choice(["sidebar", "related", "widget"]), inner), [0] * (n + 2)
         if kind == "form":
             return f'<form action="/s"><p>{self.say("form")}</p><label>{self.sentence(1, 4)}</label><input></form>', [0, 0]
-        inner = rnd.choice([self.say("foot"), f"{self.say('foot')} {self.sentence()}", self.prose(), f"<p>{self.say('foot')}</p>"])
+        inner = rnd.choice([
+            self.say("foot"), f"{self.say('foot')} {self.sentence()}", self.prose(), f"<p>{self.say('foot')}</p>",
+            f"<p>{self.prose()} {self.say('foot')}</p>",
+        ])
         return self.wrap(rnd.choice(["footer", "footer", "div"]), rnd.choice(["footer", "copyright", "legal"]), inner), [0]
 
     def page(self) -> tuple[str, list[int]]:

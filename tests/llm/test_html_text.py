@@ -121,3 +121,20 @@ def test_elements_without_an_end_tag(html):
 
 def test_left_out_elements_do_not_cut_a_block():
     assert [b.text for b in blocks("<p>One <noscript><div><p>no</div></noscript>two</p>")] == ["One two"]
+
+
+def test_a_slash_ends_no_raw_element():
+    assert [b.text for b in blocks(f"<script src=/js/>var a=\"x\"; foo()</script>{STORY}")] == [b.text for b in blocks(STORY)]
+    assert [b.text for b in blocks(f"<style media=/all/>p{{color:red}}</style>{STORY}")] == [b.text for b in blocks(STORY)]
+    assert [b.text for b in blocks(f"<svg/>{STORY}<script src='x'/>")] == [b.text for b in blocks(STORY)]
+    assert [b.text for b in blocks(f"<noscript data-x=/a/>no</noscript>{STORY}")] == [b.text for b in blocks(STORY)]
+
+
+@pytest.mark.parametrize("tag", ["div", "p"])
+@pytest.mark.parametrize("lead", ["", "Dear reader, this is how the pages that you see here are made and paid for by those who make them. " * 4])
+def test_notices_say_what_they_are_anywhere(field, tag, lead):
+    notice = f"<{tag}>{lead}We use cookies to improve your visit. By continuing you accept our privacy policy.</{tag}>"
+    text = html_text.main_text(f"<html><body>{notice}{STORY}</body></html>", field)
+    assert text == "The river rose quickly on Monday.\n\nNobody was hurt, officials said."
+    inside = STORY.replace("Nobody was hurt", f"{lead}Nobody was hurt by the cookie factory")
+    assert "cookie factory" in html_text.main_text(f"<html><body>{inside}</body></html>", field)
