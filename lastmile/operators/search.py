@@ -181,12 +181,12 @@ def frame_moments(scored: DataFrame, label: str) -> list[float]:
 
 
 def scores_of(m: list[float]) -> dict[str, float | None]:
-    """MAE, RMSE and R2 of moments; R2 is null where the label does not vary."""
+    """MAE, RMSE and R2 of moments; where the label does not vary R2 is 1 for exact predictions, else 0."""
     n, _, abs_e, e2, y, y2, _ = m
     spread = y2 - y * y / n if n else 0.0
     return {
         "mae": abs_e / n if n else None, "rmse": (e2 / n) ** 0.5 if n else None,
-        "r2": 1 - e2 / spread if spread > 1e-12 * max(y2, 1e-300) else None,
+        "r2": None if not n else 1 - e2 / spread if spread > 1e-12 * y2 else float(e2 == 0),
     }
 
 

@@ -230,9 +230,10 @@ def feature_subsets(
 
 def hard_errors(
     split: DataFrame, estimators: dict | None = None, huber: dict[str, dict] | None = None,
-    baseline: dict = compare.BALANCED_VERSION, residual=None,
+    baseline: dict = compare.BALANCED_VERSION, residual=None, repeats: int = 10,
 ) -> dict:
-    """Marks of hard segments, robust models, residual correction, segment comparison, decision.
+    """Marks of hard segments, robust models, residual correction, segment comparison, importance,
+    decision and summary.
 
     The residuals of the model with the least MAE are corrected by ``residual``, 200 extra
     trees of depth 8 unless another estimator is given.
@@ -280,16 +281,39 @@ def hard_errors(
         return written(score.segment_metrics(score.error_segments(errors)))
 
     base_segments, new_segments = segments(next(iter(tried))), segments(best)
-    deltas = compare.version_deltas(best_row, baseline)
+    deltas = written(compare.version_deltas(best_row, baseline))
+    decision = deltas.where(F.col("version") == "best_error_focused_model").first()["decision"]
+    comparison = written(compare.segment_comparison(base_segments, new_segments))
+    # Of a corrected model the base is looked at.
+    looked_at = learners.full_model(data.encoder, models[first if best == corrected else best])
+    importance = search.permutation_importance(
+        looked_at, ready.where("split = 'test'"), [*numbers, *categories], repeats=repeats
+    )
     return {
         "data": data, "models": models, "metrics": metrics, "best": best, "predictions": predicted,
         "accuracy": score.tolerance_accuracy(predicted), "versions": deltas,
-        "segments": new_segments,
-        "segment_comparison": compare.segment_comparison(base_segments, new_segments),
-        "residual_model": corrected,
+        "segments": new_segments, "segment_comparison": comparison, "importance": written(importance),
+        "residual_model": corrected, "best_model": learners.full_model(data.encoder, models[best]), "decision": decision,
+        "summary": hard_errors_summary(baseline, metrics.where(F.col("model") == best).first().asDict(), first, corrected, decision, comparison),
     }
 
 
+def hard_errors_summary(
+    baseline: dict, best: dict, base: str, corrected: str, decision: str, segments: DataFrame,
+) -> str:
+    """A Markdown summary: stored and new model, the corrected one, the decision and the segments."""
+    shown = ("MAE", "RMSE", "R2", "acc_10_min", "acc_15_min", "p90_absolute_error")
+    lines = ["# Resumen de errores dificiles", "", "| version | modelo | " + " | ".join(shown) + " |", "|---" * (len(shown) + 2) + "|"]
+    for version, row in (("actual", baseline), ("nuevo", best)):
+        cells = [f"{row[c]:.4f}" if row.get(c) is not None else "" for c in shown]
+        lines.append(f"| {version} | {row['model']} | " + " | ".join(cells) + " |")
+    lines += ["", f"Correccion de residuos: {corrected}, sobre {base}", "", f"Decision: {decision}", "", "Segmentos comparados:", ""]
+    lines.append("| " + " | ".join(segments.columns) + " |")
+    lines.append("|---" * len(segments.columns) + "|")
+    lines += ["| " + " | ".join(str(v) for v in r) + " |" for r in segments.collect()]  # one row per segment
+    return "\n".join(lines)
+
+
 def clustering(
     df: DataFrame, k: int = 3, k_min: int = 2, k_max: int = 8, restarts: int = 10, key: str = prep.SPLIT_KEY
 ) -> dict:

@@ -86,14 +86,10 @@ def scan_discover(spark, sf):
     files = max(2, -(-rows.count() // DELIVERIES_PER_FILE))
     dealt = rows.withColumn("_file", F.pmod(F.xxhash64("split_key"), F.lit(files))).drop("split_key")
     tables.write_table(dealt.repartition(files, "_file"), folder, "csv", ["_file"])
-    used = sorted(r[0] for r in dealt.select("_file").distinct().collect())
-    found = [
-        tables.scan_csv(spark, tables.discover_csv(spark, f"{folder}/_file={i}", "part-preferred.csv"))
-        for i in used
-    ]
-    if not found:  # no deliveries, no files
-        found = [dealt.drop("_file")]
-    return reduce(DataFrame.unionByName, found).groupBy("clima").agg(F.count("*").alias("n"))
+    if not rows.take(1):  # no deliveries, no files
+        return dealt.groupBy("clima").agg(F.count("*").alias("n"))
+    found = tables.scan_csv(spark, tables.discover_in_folders(spark, folder, "part-preferred.csv"))
+    return found.groupBy("clima").agg(F.count("*").alias("n"))
 
 
 @query
