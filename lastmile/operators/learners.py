@@ -186,6 +186,7 @@ def predict_wide(long: DataFrame, key: list[str], names: list[str]) -> DataFrame
 def classifiers(rows: int, classes: int = 3) -> dict:
     return {
         "decision_tree": DecisionTreeClassifier(maxDepth=5, maxBins=BINS, seed=SEED),
+        "one_tree": Trees(numTrees=1, bootstrap=False, impurity="gini", classes=classes),
         "random_forest": Trees(numTrees=100, featureSubsetStrategy="sqrt", impurity="gini", classes=classes),
         "logistic_regression": logistic(rows),
     }

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from lastmile.operators import cluster, compare, features, learners, prep, score, search
 from lastmile.operators.sizing import written
-from lastmile.schema import CATEGORICAL, FEATURES, NUMERIC, TARGET
+from lastmile.schema import CATEGORICAL, FEATURES, LABEL, NUMERIC, TARGET
+from lastmile.sources import models as model_store
 
 
 @dataclass
@@ -314,6 +315,42 @@ def hard_errors_summary(
     return "\n".join(lines)
 
 
+def classification(
+    df: DataFrame, folder: str, spaces: dict[str, dict[str, list]] | None = None, folds: int = 5,
+    numbers: list[str] | None = None, categories: list[str] | None = None,
+) -> dict:
+    """Classes by time, a search per classifier, the best by macro F1 over the folds refitted on all
+    training rows, saved, loaded again and scored on the test rows.
+
+    ``numbers`` and ``categories`` restrict the features to some of those that may be used.
+    """
+    ready = prep.prepare_by_time(df)
+    numbers = [c for c in ready.numbers if numbers is None or c in numbers]
+    categories = [c for c in ready.categories if categories is None or c in categories]
+    train = written(ready.rows.where("split = 'train'"))
+    count = prep.effective_folds(train, LABEL, folds)
+    made = search.encoded_folds(prep.assign_folds(train, count), numbers, categories, count, [LABEL])
+    searches, spaces = {}, spaces or search.CLASS_SPACES
+    for name, space in spaces.items():
+        points = search.grid_points(space)
+        searches[name] = written(search.search(points, search.fit_class_named(name), made, search.f1))
+    ranked = written(search.search_many(searches))
+    name = ranked.first()["model"]
+    best = search.grid_points(spaces[name])[search.best_row(searches[name])["candidate"]]
+    encoder = prep.fit_encoder(train, numbers, categories)
+    fitted = search.fit_class_named(name)(written(encoder.transform(train).select("features", LABEL)), best)
+    path = model_store.save_model(learners.full_model(encoder, fitted), folder, name)
+    model = model_store.load_model(df.sparkSession, path)
+    predicted = written(
+        learners.predict_classes({name: model}, ready.rows.where("split = 'test'"), LABEL, [prep.SPLIT_KEY])
+    )
+    return {
+        "searches": searches, "ranked": ranked, "best": name, "best_params": best, "path": path, "model": model,
+        "predictions": predicted, "metrics": score.cls_metrics(predicted), "confusion": score.confusion_matrix(predicted),
+        "report": score.cls_report(predicted), "thresholds": ready.thresholds,
+    }
+
+
 def clustering(
     df: DataFrame, k: int = 3, k_min: int = 2, k_max: int = 8, restarts: int = 10, key: str = prep.SPLIT_KEY
 ) -> dict:

@@ -434,6 +434,20 @@ def flow_hard_errors(spark, sf):
     return rounded(flows.hard_errors(_split(spark, sf))["segment_comparison"], 4)
 
 
+@query
+def flow_classification(spark, sf):
+    return rounded(flows.classification(tidy(spark, sf), binding.scratch(spark))["metrics"], 4)
+
+
+@query
+def flow_classification_stops(spark, sf):
+    """The flow with one tree on one feature, which predicts the most frequent class of each value."""
+    found = flows.classification(
+        tidy(spark, sf), binding.scratch(spark), {"one_tree": {"maxDepth": [0]}}, numbers=["paradas_previas"], categories=[],
+    )
+    return found["predictions"].select(prep.SPLIT_KEY, "real", "predicho")
+
+
 @query
 def flow_clustering(spark, sf):
     return flows.clustering(tidy(spark, sf))["profile"]

@@ -658,6 +658,12 @@ avg({TARGET}) AS y, avg(distancia_km) AS x FROM tr)
 SELECT split_key, {r("y + a * (distancia_km - x)", 4)} AS prediction FROM te, f"""
 O["reg_tree_groups"] = f"""WITH {SPLIT}, g AS (SELECT paradas_previas, avg({TARGET}) AS m FROM tr GROUP BY 1)
 SELECT split_key, {r("m", 4)} AS prediction FROM te JOIN g USING (paradas_previas)"""
+CLASS_CUTS = TRAIN_CUTS.replace("patchy", "tidy").replace("split_key % 10 >= 2", f"NOT ({IN_TEST})")
+O["flow_classification_stops"] = f"""WITH {TIDY}, {CLASS_CUTS}, l AS (SELECT split_key, paradas_previas, {IN_TEST} AS test,
+{CLASS.format(f"(CASE WHEN {TARGET} > 0 THEN {TARGET} END)")} AS real FROM tidy, cuts),
+v AS (SELECT paradas_previas, real, row_number() OVER (PARTITION BY paradas_previas ORDER BY count(*) DESC, real) AS k
+FROM l WHERE NOT test GROUP BY paradas_previas, real)
+SELECT split_key, l.real, v.real AS predicho FROM l JOIN v ON l.paradas_previas = v.paradas_previas AND k = 1 WHERE test"""
 CV_MEANS = ", ".join(
     f"{r(f'{f}({m}) FILTER (WHERE NOT seen)', 4)} AS cv_{m.lower()}_{s}"
     for m in ("MAE", "RMSE", "R2") for f, s in (("avg", "mean"), ("stddev_pop", "std"))
