@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lastmile.operators import score
 
-PATH = os.path.join(os.path.dirname(os.path.abspath(__file__)), "golden_predictions.csv")
+PATH = os.path.join(os.path.dirname(os.path.abspath(__file__)), "golden", "predictions.csv")
 
 
 def test_scores_of_published_predictions(spark):
