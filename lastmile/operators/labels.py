@@ -121,15 +121,17 @@ def rank_percent(
     ranks = written(value_ranks(keyed, list(columns)))
     distinct = {r["_column"]: r["count"] for r in ranks.groupBy("_column").count().collect()}
     share = (F.col("_below") + (F.col("_n") + 1) / 2.0) / F.col("_total")
+    hashable = [c for c, t in df.dtypes if "map<" not in t and "vector" not in t]
     out = df
     for source, name in columns.items():
         scored = ranks.where(F.col("_column") == source).select(
             "_value", (1 - share if source in low_is_risky else share).alias(name)
         )
         side = F.broadcast(scored) if distinct.get(source, 0) <= BROADCAST_ROWS else scored
-        # Null keys match nothing; a random negative mark instead of the one null spreads them.
+        # Null keys match nothing; a negative mark by the row's hash instead of the one null spreads
+        # them, alike when a task runs again.
         out = out.withColumn("_key", numeric(df, source)).withColumn(
-            "_mark", F.when(F.col("_key").isNull(), -1 - F.floor(F.rand(42) * 4096)).otherwise(0)
+            "_mark", F.when(F.col("_key").isNull(), -1 - F.pmod(F.xxhash64(*hashable), F.lit(4096))).otherwise(0)
         )
         side = side.withColumn("_zero", F.lit(0).cast("long"))
         out = out.join(side, (F.col("_key").eqNullSafe(F.col("_value"))) & (F.col("_mark") == F.col("_zero")), "left").drop(

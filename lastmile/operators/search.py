@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lastmile.operators import ensembles, gram, learners
 from lastmile.operators.ensembles import Trees
 from lastmile.operators.prep import fit_encoder, slot_names
 from lastmile.operators.score import cls_metrics
-from lastmile.operators.sizing import written
+from lastmile.operators.sizing import running_before, written
 from lastmile.schema import LABEL, TARGET
 
 SEED = 42
@@ -398,31 +399,33 @@ def search_many(searches: dict[str, DataFrame]) -> DataFrame:
 # --- importance ---------------------------------------------------------------------------
 
 
+def shuffled(number: Column, rows: int, repeat: int, seed: int = SEED) -> Column:
+    """A permutation of the numbers 0 to rows - 1: factor * number + shift, with a factor that has no divisor in common."""
+    draw = random.Random(f"{seed}-{repeat}")
+    factor = draw.randrange(1, max(rows, 2))
+    while math.gcd(factor, rows) != 1:
+        factor += 1
+    wide = number.cast("decimal(19,0)") * F.lit(factor).cast("decimal(19,0)") + F.lit(draw.randrange(max(rows, 1)))
+    return (wide % F.lit(rows).cast("decimal(19,0)")).cast("long")
+
+
 def permutation_importance(
     model, test: DataFrame, features: list[str], label: str = TARGET, repeats: int = 10, seed: int = SEED
 ) -> DataFrame:
     """Mean and population std of the RMSE increase when one raw feature is shuffled.
 
-    Rows get an id that is written once. Per repeat, rows fall into random strata and
-    are paired with another row of the same stratum through two random orders, so the
-    shuffle is a permutation without one global sort. All features and repeats are
-    scored in one pass over the stacked frame.
+    Rows are numbered once in the order of a hash. Each repeat pairs every row with the one whose
+    number a permutation gives, so that the shuffle is one over all rows at every size. All
+    features and repeats are scored in one pass over the stacked frame.
     """
-    keyed = written(test.select(*features, label).withColumn("_id", F.monotonically_increasing_id()))
+    kept = written(test.select(*features, label).withColumn("_id", F.monotonically_increasing_id()))
+    keyed = written(running_before(kept.withColumn("_h", F.xxhash64("_id", F.lit(seed))), ["_h", "_id"], name="_n").drop("_h"))
     rows = keyed.count()
-    strata = max(1, rows // 100_000)
     frames = []
     for i in range(repeats):
-        base = keyed.withColumn("_s", F.pmod(F.xxhash64("_id", F.lit(seed + 3 * i)), F.lit(strata)))
-
-        def order(salt: int):
-            return F.row_number().over(Window.partitionBy("_s").orderBy(F.xxhash64("_id", F.lit(salt)), "_id"))
-
-        receiver = base.withColumn("_n", order(seed + 3 * i + 1))
-        donor = base.select(
-            "_s", order(seed + 3 * i + 2).alias("_n"), F.struct(*features).alias("_donor")
-        )
-        paired = receiver.join(donor, ["_s", "_n"])
+        receiver = keyed.withColumn("_from", shuffled(F.col("_n"), rows, i, seed))
+        donor = keyed.select(F.col("_n").alias("_from"), F.struct(*features).alias("_donor"))
+        paired = receiver.join(donor, "_from")
         swapped = F.array(
             *[
                 F.struct(

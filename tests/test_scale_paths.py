@@ -5,9 +5,12 @@ from urllib.parse import unquote
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from lastmile.operators import clean, knn, prep, profile, quantiles, score, sizing
+from lastmile.operators import clean, knn, prep, profile, quantiles, score, search, sizing
 from lastmile.sources import tables
 
 
@@ -171,6 +174,28 @@ def test_tolerance_evaluator_keeps_its_minutes(spark, tmp_path):
     assert score.ToleranceEvaluator.load(path).evaluate(df) == 0.5
 
 
+@pytest.mark.parametrize("rows", [1, 2, 97, 100])
+def test_shuffles_are_permutations_of_all_rows(spark, rows):
+    found = [
+        [r[0] for r in spark.range(rows).select(search.shuffled(F.col("id"), rows, i)).collect()] for i in range(6)
+    ]
+    assert all(sorted(f) == list(range(rows)) for f in found)
+    assert rows < 3 or len({tuple(f) for f in found}) > 3
+    wide = 2**40 + 15  # products beyond 64 bits
+    (row,) = spark.range(1).select(search.shuffled(F.lit(2**40), wide, 1)).collect()
+    assert 0 <= row[0] < wide
+
+
+def test_importance_of_shuffled_features(spark):
+    df = spark.range(400).select((F.col("id") % 20 * 1.0).alias("x"), (F.col("id") % 7 * 1.0).alias("z"), (F.col("id") % 20 * 3.0).alias("y"))
+    vectors = VectorAssembler(inputCols=["x", "z"], outputCol="features")
+    model = PipelineModel([vectors, LinearRegression(labelCol="y").fit(vectors.transform(df))])
+    found = {r.feature: r.importance_mean for r in search.permutation_importance(model, df, ["x", "z"], "y", repeats=3).collect()}
+    assert found["z"] == pytest.approx(0, abs=1e-6)
+    # Two independent draws of 3 * x differ by sqrt(2) standard deviations.
+    assert found["x"] == pytest.approx(3 * np.std(np.arange(20)) * 2**0.5, rel=0.15)
+
+
 def test_preferred_csv_is_found_among_many(spark, tmp_path):
     for name in ("a.csv", "b [1].csv", "z.csv"):
         (tmp_path / name).write_text("x\n1\n")
