@@ -3,8 +3,9 @@
 Base spans follow exact rules (pattern, checksum, range). Further generators with loose
 patterns propose overlapping candidates of written-around forms. Trees boosted on format and
 context features score them; a threshold per generator, calibrated on rows that the trees
-have not seen, selects redactions. Everything is DataFrame expressions on the row of the
-document: regular expressions, arrays and, for the fitted trees, nested conditions.
+have not seen, selects redactions. Trees and thresholds come from the candidates of all
+distinct texts, counted by their features. Everything is DataFrame expressions on the row of
+the document: regular expressions, arrays and, for the fitted trees, nested conditions.
 """
 
 from __future__ import annotations
@@ -65,11 +66,10 @@ FEATURES = (
     "brackets", "letters", "word_before", "sign_before", "quote_before", "word_after", "context",
     "not_personal", "first_digit",
 )
-MOST_SAMPLED = 20_000  # documents whose candidates the trees are fitted on, at most
-MOST_ROWS = 40_000  # candidates they are fitted on, at most
 MIN_PRECISION = 0.98
 MIN_POSITIVE = 10  # right ones that a threshold must rest on
 ROUNDS, DEPTH = 15, 3
+MOST_BINS = 1024  # more than any feature has values, so that each value is a split of its own
 
 
 BLOCK = 48  # array elements that are appended to, or pieces of a text that are put together, at a time
@@ -292,26 +292,22 @@ def written_around(kind: Column, match: Column) -> Column:
     return choice
 
 
-def training_rows(docs: DataFrame, text: str = "text", most: int = MOST_SAMPLED) -> DataFrame:
-    """(x, y, generator, part): candidates of a bounded sample of documents.
+def training_rows(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(part, generator, y, x, n): how many candidates of all distinct texts have these features.
 
     Positive ones cover a written-around base span, put back into its own context. Other
-    candidates there are negative, and so are those of the documents that overlap no base
+    candidates there are negative, and so are those of the texts that overlap no base
     span and fail their kind's own test; what passes it may be personal and is left out.
-    The documents are those with the smallest hashes of their texts; at most ``MOST_ROWS`` rows.
+    The part, 0 to 2, is that of the text.
     """
-    hashed = docs.where(F.col(text).rlike("[0-9@]")).select(F.xxhash64(text).alias("_h"), F.col(text).alias("text"))
-    least = hashed.select("_h").distinct().orderBy("_h").limit(most)
-    sample = written(
-        hashed.join(F.broadcast(least), "_h").dropDuplicates(["_h"])
-        .select("_h", "text", base_spans(F.col("text")).alias("base"))
-    )
+    texts = docs.where(F.col(text).rlike("[0-9@]")).select(F.col(text).alias("text")).distinct()
+    based = written(texts.select(F.xxhash64("text").alias("_h"), "text", base_spans(F.col("text")).alias("base")))
     x = lambda name: F.col("c.x")[FEATURES.index(name)]
     tests = (x("brackets") == 1, x("parts_in_range") == 1, x("luhn") == 1, x("digits").between(10, 15))
     passes = F.element_at(F.array(*tests), F.col("c.generator") + 1)
     free = F.filter(candidates(F.col("text")), lambda c: ~F.exists("base", lambda b: overlaps(b, c)))
-    plain = sample.select("_h", F.explode(free).alias("c")).where(~passes).select("_h", "c", F.lit(0).alias("y"))
-    spots = sample.select("_h", F.explode("base").alias("s")).select(
+    plain = based.select("_h", F.explode(free).alias("c")).where(~passes).select("_h", "c", F.lit(0).alias("y"))
+    spots = based.select("_h", F.explode("base").alias("s")).select(
         "_h", "s", F.explode(written_around(F.col("s.kind"), F.col("s.match"))).alias("form")
     )
     window = spots.select(
@@ -325,8 +321,8 @@ def training_rows(docs: DataFrame, text: str = "text", most: int = MOST_SAMPLED)
     made = window.select("*", F.explode(candidates(F.col("text"))).alias("c")).select("_h", "c", good.cast("int").alias("y"))
     part = F.pmod(F.xxhash64("_h", F.lit("part")), F.lit(3)).cast("int")
     return (
-        plain.unionAll(made).select("c.x", "c.generator", "y", part.alias("part"), F.xxhash64("_h", "c.start", "y").alias("_o"))
-        .orderBy("_o").limit(MOST_ROWS).drop("_o")
+        plain.unionAll(made).select(part.alias("part"), "c.generator", "y", "c.x")
+        .groupBy("part", "generator", "y", "x").agg(F.count(F.lit(1)).alias("n"))
     )
 
 
@@ -353,29 +349,27 @@ def _condition(node) -> str:
     return f"CASE WHEN {{x}}[{split.featureIndex()}] <= {split.threshold()!r}D THEN {left} ELSE {right} END"
 
 
-def fit(docs: DataFrame, text: str = "text", most: int = MOST_SAMPLED) -> SpanModel:
-    """Fit trees on two thirds of the training rows, calibrate thresholds on the last third.
+def fit(docs: DataFrame, text: str = "text") -> SpanModel:
+    """Fit trees on two thirds of the texts, calibrate thresholds on the last third, both on all their candidates.
 
     A generator's threshold is the least score bin from which on its precision on the last
     third is at least ``MIN_PRECISION``, over ``MIN_POSITIVE`` right ones or more. Without rows of both classes nothing is added.
     """
-    rows = written(training_rows(docs, text, most)).withColumn("features", array_to_vector("x")).withColumn(
-        "label", F.col("y").cast("double")
-    )
+    rows = written(training_rows(docs, text).sortWithinPartitions("part", "generator", "y", "x"))
     train, rest = rows.where("part > 0"), rows.where("part = 0")
-    sizes = train.agg(F.count(F.lit(1)), F.sum("y")).first()
+    sizes = train.agg(F.sum("n"), F.sum(F.col("n") * F.col("y"))).first()
     if not sizes[1] or sizes[1] == sizes[0] or sizes[0] < 50:
         return NO_MODEL
-    model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, seed=1, cacheNodeIds=False).fit(
-        train.select("features", "label").coalesce(8)
+    model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, maxBins=MOST_BINS, stepSize=0.3, seed=1, cacheNodeIds=False, weightCol="weight").fit(
+        train.select(array_to_vector("x").alias("features"), F.col("y").cast("double").alias("label"), F.col("n").cast("double").alias("weight"))
     )
     trees = [
         f"{weight!r}D * ({_condition(tree._call_java('rootNode'))})"
         for tree, weight in zip(model.trees, model.treeWeights)
     ]
     fitted = SpanModel(" + ".join(trees), ())
-    bins = rest.select("generator", "y", F.expr(f"floor(({fitted.score('x')}) * 100)").alias("bin")).groupBy("generator", "bin").agg(
-        F.sum("y").alias("good"), F.count(F.lit(1)).alias("n")
+    bins = rest.select("generator", "y", "n", F.expr(f"floor(({fitted.score('x')}) * 100)").alias("bin")).groupBy("generator", "bin").agg(
+        F.sum(F.col("n") * F.col("y")).alias("good"), F.sum("n").alias("n")
     )
     above = Window.partitionBy("generator").orderBy(F.col("bin").desc())
     reached = bins.withColumns({"_good": F.sum("good").over(above), "_n": F.sum("n").over(above)}).where(
@@ -440,12 +434,12 @@ def joined(spans: str) -> Column:
     )
 
 
-def detected(docs: DataFrame, text: str = "text", most: int = MOST_SAMPLED) -> DataFrame:
+def detected(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows with counts and digests of their spans.
 
     Every row is kept; null and empty texts have no spans. An empty table gives no rows.
     """
-    rows = with_spans(docs, fit(docs, text, most), text)
+    rows = with_spans(docs, fit(docs, text), text)
     def count(number: int) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long")
 
@@ -455,7 +449,7 @@ def detected(docs: DataFrame, text: str = "text", most: int = MOST_SAMPLED) -> D
     }).drop("base")
 
 
-def redacted(docs: DataFrame, text: str = "text", most: int = MOST_SAMPLED) -> DataFrame:
+def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents with each span replaced by its kind in capitals and brackets.
 
     Overlapping spans are one replacement, named after the first. ``n_chars`` follows the
@@ -463,7 +457,7 @@ def redacted(docs: DataFrame, text: str = "text", most: int = MOST_SAMPLED) -> D
     """
     marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     inner = shielded(docs, (text, "n_chars"))
-    rows = with_spans(inner, fit(docs, text, most), text)
+    rows = with_spans(inner, fit(docs, text), text)
     whole = replaced(F.col(text), F.col("spans"), lambda s: F.get(marks, s["kind"]))
     out = rows.withColumn(text, F.when(F.size("spans") > 0, whole).otherwise(F.col(text)))
     if "n_chars" in docs.columns:

@@ -132,3 +132,13 @@ def test_many_spans_in_one_text(spark):
     ).collect()
     assert [tuple(s) for s in row.d] == [(1, 6, 0), (6, 7, 2)]
     assert row.r == "002789" and row.m.startswith("0" + pii.FILLER) and row.m.endswith("789")
+
+
+def test_trees_and_thresholds_come_from_all_texts(spark):
+    """Addresses in 20 of 30,000 texts, enough to calibrate on only if all their forms are counted."""
+    mail = F.concat(F.lit("write to u"), F.col("id"), F.lit("@host"), F.col("id"), F.lit(".org until 12-05-2024"))
+    host = F.concat(F.lit("the host 10.2.3."), F.col("id") % 250, F.lit(" was seen in "), F.col("id"))
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 1500 == 7, host).otherwise(mail).alias("text"))
+    assert pii.fit(docs.unionAll(docs.limit(500))).thresholds[1] <= 1
+    counted = pii.training_rows(docs.unionAll(docs.limit(500))).groupBy("generator", "y").agg(F.sum("n").alias("n"))
+    assert {(r.generator, r.y): r.n for r in counted.collect()} == {(0, 1): 4 * 29_980, (1, 1): 4 * 20, (3, 0): 5 * 29_980}
