@@ -39,6 +39,8 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BITS = 26  # of the bitmap of frequent hashes, 8 MB
 BUCKET_BITS = 15  # of a bitmap row, as Spark's bitmap functions cut them
 CHUNK_BYTES = 1_500_000  # of text counted at a time
+BASE = 0xD1342543DE82EF95  # of the polynomial in a word's hash, odd
+INVERSE = pow(BASE, -1, 2**64)
 
 LOWER = bytes(10 if c in PIECE_ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 COUNTS = "h long, lang string, phrase string, n long"
@@ -77,23 +79,30 @@ def chunks(text: bytes, order: int, most: int = CHUNK_BYTES) -> Iterator[tuple[b
 
 
 class Words:
-    """The words of a normalised buffer as numbers: dictionary, piece and text of each."""
+    """The words of a normalised buffer: hash, piece and text of each."""
 
     def __init__(self, data: bytes, text_starts: np.ndarray):
         raw = np.frombuffer(data, np.uint8)
-        inside = (raw != 32) & (raw != 10)
-        edges = np.diff(inside.astype(np.int8), prepend=0, append=0)
-        starts = np.flatnonzero(edges == 1)
-        offsets = np.zeros(len(starts) + 1, np.int32)
-        np.cumsum(np.flatnonzero(edges == -1) - starts, out=offsets[1:])
-        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])]
-        words = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
-        self.number, self.dictionary = words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary
-        self.piece = np.cumsum(raw == 10)[starts]
+        inside = np.zeros(len(raw) + 2, bool)
+        inside[1:-1] = (raw != 32) & (raw != 10)
+        self.edges = np.flatnonzero(inside[1:] != inside[:-1])
+        self.raw, starts = raw, self.edges[::2]
+        self.hash = word_hashes(raw, starts, self.edges[1::2])
+        self.piece = np.cumsum(raw == 10, dtype=np.int32)[starts]
         self.text = np.searchsorted(text_starts, starts, "right") - 1
 
+    def numbered(self, used: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+        """Number in a dictionary of each word that is marked as used, and the dictionary."""
+        buffers = [None, pa.py_buffer(self.edges.astype(np.int32)), pa.py_buffer(self.raw)]
+        words_and_gaps = pa.Array.from_buffers(pa.binary(), len(self.edges) - 1, buffers)
+        at = np.flatnonzero(used)
+        words = words_and_gaps.take(pa.array(2 * at)).dictionary_encode()
+        number = np.zeros(len(self), np.int64)
+        number[at] = words.indices.to_numpy(zero_copy_only=False)
+        return number, words.dictionary
+
     def __len__(self) -> int:
-        return len(self.number)
+        return len(self.hash)
 
     def phrases(self, order: int) -> np.ndarray:
         """Whether a phrase of so many words begins at each word, all in one piece."""
@@ -108,6 +117,25 @@ def mixed(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word: its bytes as a polynomial modulo 2^64, with the bits mixed.
+
+    Differences of one running sum over the buffer, divided by the power at the word's start.
+    UTF-8 has no byte 255, so that no byte counts as zero.
+    """
+    total = np.full(len(raw) + 1, BASE, np.uint64)
+    np.cumprod(total, out=total)
+    total[1:] *= raw + np.uint8(1)
+    np.cumsum(total, out=total)
+    h = total[ends] - total[starts]
+    total[0], total[1:] = 1, INVERSE
+    np.cumprod(total, out=total)
+    h *= total[starts]
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    return h ^ (h >> np.uint64(31))
+
+
 def count_buffer(
     data: bytes, text_starts: np.ndarray, langs: list[str], order: int, last: int, bitmap: np.ndarray | None, repeated: int = 0,
 ) -> Iterator[pa.RecordBatch]:
@@ -127,9 +155,8 @@ def count_buffer(
         seen = np.flatnonzero(totals)
         yield counts_batch([None] * len(seen), lang_names[seen].tolist(), [""] * len(seen), totals[seen])
         frequent = np.ones(len(words), bool)
-    word_hash = np.fromiter(map(xxhash.xxh64_intdigest, words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
     lang_hash = np.fromiter((xxhash.xxh64_intdigest(x, seed=1) for x in lang_names.tolist()), np.uint64, len(lang_names))
-    own, h = word_hash[words.number], lang_hash[lang]
+    own, h = words.hash, lang_hash[lang]
     for k in range(order - 1):
         h = mixed(h, np.roll(own, -k))
     if order > 1:
@@ -138,12 +165,18 @@ def count_buffer(
         frequent = (bit == 1) & words.phrases(order - 1)
         first = np.flatnonzero(frequent & (place + order - 1 > repeated))
         if len(first):
+            used = np.zeros(len(words), bool)
+            for k in range(order - 1):
+                used[first + k] = True
+            number, dictionary = words.numbered(used)
             key = lang[first]
             for k in range(order - 1):
-                key = np.unique(key * len(words.dictionary) + words.number[first + k], return_inverse=True)[1]
+                if k and k % 2 == 0:  # a buffer's langs or phrases with two words more stay in 63 bits
+                    key = np.unique(key, return_inverse=True)[1]
+                key = key * len(dictionary) + number[first + k]
             _, example, n = np.unique(key, return_index=True, return_counts=True)
             start = first[example]
-            parts = [words.dictionary.take(pa.array(words.number[start + k])) for k in range(order - 1)]
+            parts = [dictionary.take(pa.array(number[start + k])) for k in range(order - 1)]
             phrases = pc.binary_join_element_wise(*parts, pa.scalar(b" ")).cast(pa.string())
             yield counts_batch([None] * len(n), lang_names[lang[start]].tolist(), phrases, n)
     if order <= last:

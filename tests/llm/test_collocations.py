@@ -3,7 +3,9 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
+import xxhash
 from compare_engines import connect, differences
 
 from lastmile.llm import collocations
@@ -120,3 +122,30 @@ def test_arithmetic_beyond_64_bits(spark):
     frame = spark.createDataFrame(rows, "lang string, path array<string>, n long, _ends array<long>, _before long")
     (row,) = collocations.scored(collocations.in_lockstep(frame, "_starts", "_after")).collect()
     assert (row.a, row.l, row.r, row.n, row.score) == (big - 1, big, big, big, 2_000_000 * (big - 1) // (2 * big))
+
+
+def test_no_call_per_word(monkeypatch):
+    """Words are hashed a buffer at a time; only langs one by one."""
+    calls = []
+
+    class Counted:
+        @staticmethod
+        def xxh64_intdigest(value, seed=0):
+            calls.append(value)
+            return xxhash.xxh64_intdigest(value, seed=seed)
+
+    monkeypatch.setattr(collocations, "xxhash", Counted)
+    texts = [b" ".join(b"w%d" % i for i in range(5000)), b"a b"]
+    starts = np.array([0, len(texts[0]) + 1])
+    (totals, hashes) = collocations.count_buffer(b"\n".join(texts), starts, ["en", "de"], 1, 4, None)
+    assert totals.num_rows == 2 and hashes.num_rows == 5002 and len(calls) == 2
+
+
+def test_word_hashes_do_not_depend_on_the_place():
+    words = [b"a", b"\x00", b"\x00\x00", b"a\x00", b"\x00a", b"ab", b"ba", "été".encode(), b"x" * 3000, b"y"]
+    for data in (b" ".join(words), b"\n q " + b"  ".join(reversed(words)) + b"\n", b"y"):
+        found = collocations.Words(data, np.array([0]))
+        seen = dict(zip(data.split(), found.hash.tolist(), strict=True))
+        assert len(set(seen.values())) == len(seen)
+        assert {w: collocations.Words(w, np.array([0])).hash[0] for w in seen} == seen
+    assert len(collocations.Words(b" \n", np.array([0]))) == len(collocations.Words(b"", np.array([0]))) == 0
