@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lastmile.operators import big_trees, ensembles, held_boosting, trees
+from lastmile.operators import big_trees, ensembles, held_boosting, meeting, trees
 
 KINDS = {
     "levels": {"maxDepth": 3, "maxIter": 6, "stepSize": 0.4},
@@ -97,7 +97,7 @@ def test_one_stage_for_all_rounds(spark, monkeypatch):
 
 def test_exchange_by_files_gives_all_arrays_and_leaves_few(tmp_path):
     def work(i, _):
-        together = held_boosting.by_files(str(tmp_path), i, 3)
+        together = meeting.by_files(str(tmp_path), i, 3)
         return [np.concatenate(together(np.array([i + 10.0 * k]))).tolist() for k in range(40)]
 
     assert side_by_side(3, work) == [[[10.0 * k, 1 + 10.0 * k, 2 + 10.0 * k] for k in range(40)]] * 3
@@ -105,5 +105,5 @@ def test_exchange_by_files_gives_all_arrays_and_leaves_few(tmp_path):
 
 
 def test_no_files_in_a_folder_that_is_not_plain(monkeypatch):
-    monkeypatch.setattr(held_boosting, "shared_folder", lambda spark: "hdfs://there/kept")
-    assert held_boosting.meeting_folder(None) is None
+    monkeypatch.setattr(meeting, "shared_folder", lambda spark: "hdfs://there/kept")
+    assert meeting.meeting_folder(None) is None
