@@ -107,3 +107,11 @@ def test_exchange_by_files_gives_all_arrays_and_leaves_few(tmp_path):
 def test_no_files_in_a_folder_that_is_not_plain(monkeypatch):
     monkeypatch.setattr(meeting, "shared_folder", lambda spark: "hdfs://there/kept")
     assert meeting.meeting_folder(None) is None
+
+
+def test_no_barrier_stage_where_executors_come_and_go(spark):
+    class Session:
+        class sparkContext:  # noqa: N801
+            getConf = staticmethod(lambda: {"spark.dynamicAllocation.enabled": "true"})
+
+    assert meeting.tasks_at_once(Session) == 0 and meeting.tasks_at_once(spark) == 8
